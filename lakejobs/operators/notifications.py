@@ -34,28 +34,35 @@ NO_JOB = "No matching Glue job"
 
 EVENT_TYPE = "struct<bucket:string,object_key:string,event_name:string>"
 
-
-def _at(value: Column, path: str, kind: str = "string") -> Column:
-    return F.try_variant_get(value, path, kind)
+# Everything the shapes look at, taken from a message in one step. A key that is absent gives NULL, a
+# key that holds null gives a VARIANT null. `Bucket` and `Key` differ from `bucket` and `key` in case
+# only and so need a struct of their own.
+_TOP = "struct<{}>".format(
+    ",".join(
+        f"`{name}`:variant"
+        for name in ["Records", "detail", "detail-type", "bucket", "event_name", "eventName"]
+        + [name for name in BUCKET_NAMES + KEY_NAMES if name not in ("Bucket", "Key")]
+    )
+)
+_CAPITALS = "struct<Bucket:variant,Key:variant>"
+_RECORDS = "array<struct<eventSource:string,eventName:variant,s3:variant>>"
 
 
-def _has(value: Column, name: str) -> Column:
-    """Whether the object has the key; a null under the key is there too."""
-    return F.try_variant_get(value, f"$['{name}']", "variant").isNotNull()
+def _at(value: Column, path: str = "$", kind: str = "string") -> Column:
+    return F.try_variant_get(value, path, kind)
 
 
-def _kind(value: Column, name: str) -> Column:
-    """VOID, STRING, OBJECT<...>, ARRAY<...> or a number type; NULL when the key is absent."""
-    return F.schema_of_variant(F.try_variant_get(value, f"$['{name}']", "variant"))
+def _is_object(value: Column) -> Column:
+    return _at(value, "$", "struct<name:variant>").isNotNull()
 
 
-def _is_object(kind: Column) -> Column:
-    return F.startswith(kind, F.lit("OBJECT"))
+def _is_true(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
 
 
-def _named(value: Column, name: str) -> Column:
-    """The event name under `name`; the default stands in for a missing key, not for a null."""
-    return F.when(_has(value, name), _at(value, f"$['{name}']")).otherwise(F.lit(DEFAULT_EVENT_NAME))
+def _name(value: Column) -> Column:
+    """The event name; the default stands in for a missing key, not for a null."""
+    return F.when(value.isNull(), F.lit(DEFAULT_EVENT_NAME)).otherwise(_at(value))
 
 
 def _event(bucket: Column, object_key: Column, event_name: Column) -> Column:
@@ -64,93 +71,97 @@ def _event(bucket: Column, object_key: Column, event_name: Column) -> Column:
 
 def _filled(event: Column) -> Column:
     """Bucket and key both there and not empty."""
-    return F.coalesce((event["bucket"] != "") & (event["object_key"] != ""), F.lit(False))
+    return _is_true((event["bucket"] != "") & (event["object_key"] != ""))
 
 
-def _none() -> Column:
-    return F.array().cast(f"array<{EVENT_TYPE}>")
+def _events(*events: Column) -> Column:
+    return F.array(*events).cast(f"array<{EVENT_TYPE}>")
 
 
-def _one(event: Column) -> Column:
-    return F.array(event).cast(f"array<{EVENT_TYPE}>")
+def _one_if_filled(event: Column) -> Column:
+    return F.when(_filled(event), _events(event)).otherwise(_events())
 
 
-def _store_record(record: Column) -> Column:
-    return _event(
-        _at(record, "$.s3.bucket.name"), _at(record, "$.s3.object.key"), _named(record, "eventName")
+def _is_broken(record: Column) -> Column:
+    """A record no client could read: not an object, or with a part that should be an object and is not."""
+    store = record["s3"]
+    bucket, item = _at(store, "$.bucket", "variant"), _at(store, "$.object", "variant")
+    has_bucket = _is_true(_at(bucket, "$.name") != "")
+    broken_store = (
+        (store.isNotNull() & ~_is_object(store))
+        | (bucket.isNotNull() & ~_is_object(bucket))
+        | (has_bucket & item.isNotNull() & ~_is_object(item))
     )
+    return record.isNull() | (_is_true(record["eventSource"] == STORE_SOURCE) & broken_store)
 
 
-def _record_is_broken(record: Column) -> Column:
-    """A record that no client could read: not an object, or with a part that should be one and is not."""
-    store = F.try_variant_get(record, "$.s3", "variant")
-    no_store = _kind(record, "s3").isNotNull() & ~_is_object(_kind(record, "s3"))
-    no_bucket = _kind(store, "bucket").isNotNull() & ~_is_object(_kind(store, "bucket"))
-    no_object = _kind(store, "object").isNotNull() & ~_is_object(_kind(store, "object"))
-    named_bucket = F.coalesce(_at(record, "$.s3.bucket.name") != "", F.lit(False))
-    from_store = F.coalesce(_at(record, "$.eventSource") == STORE_SOURCE, F.lit(False))
-    broken_parts = no_store | no_bucket | (named_bucket & no_object)
-    return ~_is_object(F.schema_of_variant(record)) | (from_store & F.coalesce(broken_parts, F.lit(False)))
+def _store_event(record: Column) -> Column:
+    """The event of a record, NULL for records of other sources."""
+    event = _event(
+        _at(record["s3"], "$.bucket.name"), _at(record["s3"], "$.object.key"), _name(record["eventName"])
+    )
+    return F.when(_is_true(record["eventSource"] == STORE_SOURCE), event)
 
 
-def _shape_1(message: Column) -> Column:
-    records = F.try_variant_get(message, "$.Records", "array<variant>")
-    from_store = F.filter(records, lambda r: F.coalesce(_at(r, "$.eventSource") == STORE_SOURCE, F.lit(False)))
-    events = F.filter(F.transform(from_store, _store_record), _filled)
-    readable = records.isNotNull() & ~F.exists(records, _record_is_broken)
-    return F.when(readable, events.cast(f"array<{EVENT_TYPE}>")).otherwise(_none())
+def _shape_1(records: Column) -> Column:
+    events = F.filter(F.transform(records, _store_event), _filled)
+    readable = records.isNotNull() & ~F.exists(records, _is_broken)
+    return F.when(readable, events.cast(f"array<{EVENT_TYPE}>")).otherwise(_events())
 
 
-def _shape_2(message: Column) -> Column:
-    event = _event(
-        _at(message, "$.detail.bucket.name"), _at(message, "$.detail.object.key"), _named(message, "detail-type")
+def _shape_2(top: Column) -> Column:
+    detail = top["detail"]
+    return _one_if_filled(
+        _event(_at(detail, "$.bucket.name"), _at(detail, "$.object.key"), _name(top["detail-type"]))
     )
-    return F.when(_filled(event), _one(event)).otherwise(_none())
-
 
-def _shape_3(message: Column) -> Column:
-    event = _event(_at(message, "$.bucket"), _at(message, "$.object_key"), _named(message, "event_name"))
-    return _one(event)
 
+def _shape_3(top: Column) -> Column:
+    return _events(_event(_at(top["bucket"]), _at(top["object_key"]), _name(top["event_name"])))
 
-def _first_present(message: Column, names: list[str]) -> Column:
-    found = F.lit(None).cast("string")
-    for name in reversed(names):
-        found = F.when(_has(message, name), _at(message, f"$['{name}']")).otherwise(found)
-    return found
 
+def _shape_4(top: Column, capitals: Column) -> Column:
+    def first_present(names: list[str]) -> Column:
+        return _at(F.coalesce(*[(capitals if name in ("Bucket", "Key") else top)[name] for name in names]))
 
-def _shape_4(message: Column) -> Column:
-    event = _event(
-        _first_present(message, BUCKET_NAMES), _first_present(message, KEY_NAMES), _named(message, "eventName")
-    )
-    return F.when(_filled(event), _one(event)).otherwise(_none())
+    return _one_if_filled(_event(first_present(BUCKET_NAMES), first_present(KEY_NAMES), _name(top["eventName"])))
 
 
-def _detail_decides(message: Column) -> Column:
+def _detail_decides(detail: Column) -> Column:
     """Whether `detail` keeps the later shapes out: it holds `bucket`, or nothing can be looked up in it."""
-    kind = _kind(message, "detail")
+    kind = F.schema_of_variant(detail)
     holds = (
-        F.when(_is_object(kind), _has(F.try_variant_get(message, "$.detail", "variant"), "bucket"))
-        .when(kind == "STRING", F.contains(_at(message, "$.detail"), F.lit("bucket")))
-        .when(
-            F.startswith(kind, F.lit("ARRAY")),
-            F.array_contains(F.try_variant_get(message, "$.detail", "array<string>"), "bucket"),
-        )
+        F.when(_is_object(detail), _at(detail, "$.bucket", "variant").isNotNull())
+        .when(kind == "STRING", F.contains(_at(detail), F.lit("bucket")))
+        .when(F.startswith(kind, F.lit("ARRAY")), F.array_contains(_at(detail, "$", "array<string>"), "bucket"))
         .otherwise(F.lit(True))
     )
-    return kind.isNotNull() & F.coalesce(holds, F.lit(False))
+    return detail.isNotNull() & _is_true(holds)
+
 
+def read_messages(messages: DataFrame, message: str = "message", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Rows `(*keys, events, is_readable)`: every message with its array of events, empty when it has none.
 
-def message_events(message: Column) -> Column:
-    """Array of `(bucket, object_key, event_name)` in one parsed message; empty when it has none."""
-    return (
-        F.when(~F.coalesce(_is_object(F.schema_of_variant(message)), F.lit(False)), _none())
-        .when(_has(message, "Records"), _shape_1(message))
-        .when(_detail_decides(message), _shape_2(message))
-        .when(_has(message, "bucket") & _has(message, "object_key"), _shape_3(message))
-        .otherwise(_shape_4(message))
+    `is_readable` is false for text that is not JSON. The steps are separate projections, so that each
+    value is taken out once and used often.
+    """
+    parsed = messages.select(*keys, F.try_parse_json(F.col(message)).alias("_message"))
+    taken = parsed.select(
+        *keys,
+        F.col("_message").isNotNull().alias("is_readable"),
+        _at(F.col("_message"), "$", _TOP).alias("_top"),
+        _at(F.col("_message"), "$", _CAPITALS).alias("_capitals"),
+        _at(F.col("_message"), "$.Records", _RECORDS).alias("_records"),
+    )
+    top = F.col("_top")
+    events = (
+        F.when(top.isNull(), _events())
+        .when(top["Records"].isNotNull(), _shape_1(F.col("_records")))
+        .when(_detail_decides(top["detail"]), _shape_2(top))
+        .when(top["bucket"].isNotNull() & top["object_key"].isNotNull(), _shape_3(top))
+        .otherwise(_shape_4(top, F.col("_capitals")))
     )
+    return taken.select(*keys, events.alias("events"), "is_readable")
 
 
 def unwrap_envelopes(envelopes: DataFrame, envelope: str = "envelope", keys: tuple[str, ...] = ()) -> DataFrame:
@@ -164,28 +175,20 @@ def unwrap_envelopes(envelopes: DataFrame, envelope: str = "envelope", keys: tup
         F.posexplode(F.try_variant_get("_envelope", "$.Records", "array<variant>")).alias("_position", "_record"),
     )
     record = F.col("_record")
-    sent = F.try_variant_get(record, "$.Sns", "variant")
-    text = F.when(_kind(sent, "Message") == "STRING", _at(record, "$.Sns.Message"))
+    sent = _at(record, "$.Sns.Message", "variant")
+    text = F.when(F.schema_of_variant(sent) == "STRING", _at(sent))
     return records.filter(_at(record, "$.EventSource") == QUEUE_SOURCE).select(
         *keys, (F.col("_position") + 1).cast("int").alias("record_no"), text.alias("message")
     )
 
 
-def read_messages(messages: DataFrame, message: str = "message", keys: tuple[str, ...] = ()) -> DataFrame:
-    """Rows `(*keys, events, is_readable)`: every message with its array of events."""
-    parsed = messages.select(*keys, F.try_parse_json(F.col(message)).alias("_message"))
-    return parsed.select(
-        *keys,
-        message_events(F.col("_message")).alias("events"),
-        F.col("_message").isNotNull().alias("is_readable"),
-    )
-
-
 def normalize_messages(messages: DataFrame, message: str = "message", keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows `(*keys, event_no, bucket, object_key, event_name)`, none for messages without events."""
     read = read_messages(messages, message, keys)
-    exploded = read.select(*keys, F.posexplode("events").alias("_position", "_event"))
-    return exploded.select(*keys, (F.col("_position") + 1).cast("int").alias("event_no"), "_event.*")
+    # The outer form keeps Spark from testing the array for emptiness first, which would build it twice.
+    exploded = read.select(*keys, F.posexplode_outer("events").alias("_position", "_event"))
+    found = exploded.filter(F.col("_position").isNotNull())
+    return found.select(*keys, (F.col("_position") + 1).cast("int").alias("event_no"), "_event.*")
 
 
 def match_rule(message: Column, bucket: str | Column, prefix: str | Column = "", suffix: str | Column = "") -> Column:
@@ -199,7 +202,7 @@ def match_rule(message: Column, bucket: str | Column, prefix: str | Column = "",
         & F.startswith(key, wanted[1])
         & F.endswith(key, wanted[2])
     )
-    return F.coalesce(matches, F.lit(False))
+    return _is_true(matches)
 
 
 def job_arguments(bucket: Column, object_key: Column, env: str = DEFAULT_ENV, metrics: bool = True) -> Column:

@@ -13,27 +13,42 @@ from lakejobs.functions.json_cells import record_json
 from lakejobs.schemas import STATUS
 from lakejobs.session import stage
 
+# A row limit up to this is sorted and numbered in one task.
+ONE_TASK_ROWS = 100_000
 # monotonically_increasing_id() holds the partition above these bits and the row's place below them.
 _PLACE_BITS = 33
 
 
-def number_rows(df: DataFrame, order_by: list[str], capped: bool = False, rn: str = "rn", total: str = "total") -> DataFrame:
+def number_rows(
+    df: DataFrame,
+    order_by: list[str],
+    limit: int | None = None,
+    partitions: int | None = None,
+    rn: str = "rn",
+    total: str = "total",
+) -> DataFrame:
     """Add the row's number from 1 in the given order, and the number of all rows.
 
-    `order_by` should end in a unique column. A `capped` input (one that went through a row limit)
-    is numbered in a window. Any other is range-partitioned and sorted, written once to the shared
-    folder, and numbered from the sizes of the partitions before its own: one shuffle, and no task
-    sees more than its range. Equal leading sort values do not pile up, as ranges split on all columns.
+    `order_by` should end in a unique column. With a `limit` only the first rows come out. A small
+    limit is taken as a top-k and numbered in one window. Otherwise the rows are range-partitioned
+    and sorted, written once to the shared folder, and numbered from the sizes of the partitions
+    before their own: one shuffle, and no task sees more than its range. Equal leading sort values
+    do not pile up, as the ranges split on all columns.
     """
-    if capped:
+    if limit is not None and limit <= ONE_TASK_ROWS:
         whole = Window.partitionBy()
-        return df.withColumns(
-            {
-                rn: F.row_number().over(Window.orderBy(*order_by)).cast("bigint"),
-                total: F.count(F.lit(1)).over(whole),
-            }
+        return (
+            df.orderBy(*order_by)
+            .limit(limit)
+            .withColumns(
+                {
+                    rn: F.row_number().over(Window.orderBy(*order_by)).cast("bigint"),
+                    total: F.count(F.lit(1)).over(whole),
+                }
+            )
         )
-    ranges = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    split = [partitions, *order_by] if partitions else order_by
+    ranges = df.repartitionByRange(*split).sortWithinPartitions(*order_by)
     placed = stage(ranges.withColumn("_place", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("_place", _PLACE_BITS)
     # One row per partition of the shuffle, whatever the size of the data.
@@ -44,17 +59,26 @@ def number_rows(df: DataFrame, order_by: list[str], capped: bool = False, rn: st
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
         F.sum("_rows").over(Window.partitionBy()).alias(total),
     )
-    placed = placed.withColumn("_part", part)
     place = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    numbered = placed.join(F.broadcast(offsets), "_part")
-    return numbered.select(*df.columns, (F.col("_before") + place + 1).alias(rn), total)
+    numbered = (
+        placed.withColumn("_part", part)
+        .join(F.broadcast(offsets), "_part")
+        .select(*df.columns, (F.col("_before") + place + 1).alias(rn), total)
+    )
+    if limit is None:
+        return numbered
+    return numbered.filter(F.col(rn) <= limit).withColumn(total, F.least(F.col(total), F.lit(limit)))
 
 
 def batch_records(
-    df: DataFrame, order_by: list[str], batch_size: int = BATCH_SIZE, capped: bool = False
+    df: DataFrame,
+    order_by: list[str],
+    batch_size: int = BATCH_SIZE,
+    limit: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Add `rn`, `batch_number` (from 1) and `total_batches`."""
-    numbered = number_rows(df, order_by, capped, "rn", "_total")
+    """Add `rn`, `batch_number` (from 1) and `total_batches` to the rows, or to the first `limit` of them."""
+    numbered = number_rows(df, order_by, limit, partitions, "rn", "_total")
     return numbered.withColumns(
         {
             "batch_number": F.floor((F.col("rn") - 1) / batch_size) + 1,

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakejobs.operators.bounded import BroadcastLimit, salted_join
 from lakejobs.operators.routing import DEFAULT_ENV, route_jobs
 
 # Names, sources and texts of the notification format and of the dispatch results.
@@ -205,6 +206,40 @@ def match_rule(message: Column, bucket: str | Column, prefix: str | Column = "",
     return _is_true(matches)
 
 
+def rule_targets(
+    messages: DataFrame,
+    rules: DataFrame,
+    env: str = DEFAULT_ENV,
+    message: str = "message",
+    keys: tuple[str, ...] = (),
+    limit: BroadcastLimit = BroadcastLimit(),
+    salts: int = 16,
+) -> DataFrame:
+    """Rows `(*keys, rule, bucket, object_key, arguments)`: every rule that an event-bus message fits.
+
+    `rules` has `rule`, `bucket`, `prefix` and `suffix` (empty for "any"). The join is on the bucket;
+    one bucket may hold most of the events, so rules beyond the broadcast limit are joined salted.
+    """
+    parsed = messages.select(*keys, F.try_parse_json(F.col(message)).alias("_message"))
+    created = parsed.select(
+        *keys,
+        _at(F.col("_message"), "$.source").alias("_source"),
+        _at(F.col("_message"), "$['detail-type']").alias("_type"),
+        _at(F.col("_message"), "$.detail.bucket.name").alias("bucket"),
+        _at(F.col("_message"), "$.detail.object.key").alias("object_key"),
+    ).filter((F.col("_source") == BUS_SOURCE) & (F.col("_type") == BUS_DETAIL_TYPE))
+    wanted = rules.select("rule", "bucket", "prefix", "suffix")
+    if limit.probe(wanted, wanted.columns) is not None:
+        joined = created.join(F.broadcast(wanted), "bucket")
+    else:
+        joined = salted_join(created, wanted, ["bucket"], spread=F.col("object_key"), salts=salts)
+    key = F.col("object_key")
+    fitting = joined.filter(F.startswith(key, F.col("prefix")) & F.endswith(key, F.col("suffix")))
+    return fitting.select(
+        *keys, "rule", "bucket", "object_key", job_arguments(F.col("bucket"), key, env, metrics=False).alias("arguments")
+    )
+
+
 def job_arguments(bucket: Column, object_key: Column, env: str = DEFAULT_ENV, metrics: bool = True) -> Column:
     """Argument map of the job an event starts."""
     pairs = [F.lit("--bucket"), bucket, F.lit("--object_key"), object_key, F.lit("--env"), F.lit(env)]

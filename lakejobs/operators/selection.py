@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakejobs.operators.batching import ONE_TASK_ROWS, number_rows
+
 
 def on_dates(
     df: DataFrame, date_filter: str | None, as_of: date | str | None = None, column: str = "processed_timestamp"
@@ -42,6 +44,12 @@ def row_cap(limit: int | None, max_records: int) -> int:
     return min(limit or max_records, max_records)
 
 
-def capped(df: DataFrame, order_by: list[str | Column], limit: int | None, max_records: int) -> DataFrame:
-    """The first rows in the given order; each task keeps only its own first rows."""
-    return df.orderBy(*order_by).limit(row_cap(limit, max_records))
+def capped(df: DataFrame, order_by: list[str], limit: int | None, max_records: int) -> DataFrame:
+    """The first rows in the given order; each task keeps only its own first rows.
+
+    A cap too large for one task is cut by row number instead.
+    """
+    cap = row_cap(limit, max_records)
+    if cap <= ONE_TASK_ROWS:
+        return df.orderBy(*order_by).limit(cap)
+    return number_rows(df, order_by, cap).select(*df.columns)

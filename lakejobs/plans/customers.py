@@ -10,7 +10,7 @@ from lakejobs.functions.cleaning import clean_email, full_name, standardize_name
 from lakejobs.functions.metadata import add_processing_metadata
 from lakejobs.operators.quality import quality_customers
 from lakejobs.plans.job import LakeJob
-from lakejobs.sources.files import data_path, detect_format, read_files, read_first_found
+from lakejobs.sources.files import data_path, detect_format, read_files, read_first_found, read_fixture
 
 
 def clean_customers(df: DataFrame) -> DataFrame:
@@ -26,7 +26,11 @@ def clean_customers(df: DataFrame) -> DataFrame:
 
 
 class CustomersJob(LakeJob):
-    """Tab-separated files of the base path if there are any, else comma-separated ones, or one given file."""
+    """Tab-separated files of the base path if there are any, else comma-separated ones, or one given file.
+
+    In the local environment: `customers.dat` or else `customers.csv` in the base path. Give a `schema`
+    for large inputs, as inferring one reads all files.
+    """
 
     entity = "customers"
     layer = "silver"
@@ -41,12 +45,20 @@ class CustomersJob(LakeJob):
         self.scheme = scheme
 
     def extract(self) -> DataFrame | None:
+        if self.config.env == "local":
+            return self._fixture()
         if self.config.is_event_triggered:
             path = data_path(self.config, self.base_path, scheme=self.scheme)
             return read_files(self.spark, path, detect_format(self.config.object_key), self.schema)
         candidates = [(data_path(self.config, self.base_path, f"*.{kind}"), kind) for kind in ("dat", "csv")]
         return read_first_found(self.spark, candidates, self.schema)
 
+    def _fixture(self) -> DataFrame:
+        try:
+            return read_fixture(self.spark, self.config, self.base_path, "customers.dat")
+        except FileNotFoundError:
+            return read_fixture(self.spark, self.config, self.base_path, "customers.csv")
+
     def transform(self, df: DataFrame) -> DataFrame:
         return add_processing_metadata(
             clean_customers(df), self.config.job_name, self.config.job_run_id, self.run_time

@@ -8,16 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakejobs.config import ExportRequest
 from lakejobs.operators.batching import batch_payloads, batch_records, deliver_batches, delivery_summary
-from lakejobs.operators.selection import capped, matching, on_dates
+from lakejobs.operators.selection import matching, on_dates, row_cap
 from lakejobs.sources.catalog import read_table
 
 
-def select_rows(
-    df: DataFrame, request: ExportRequest, order_by: list[str], date_column: str = "processed_timestamp"
-) -> DataFrame:
-    """Date filter, then predicate, then the cap, in a stable order."""
-    dated = on_dates(df, request.date_filter, request.as_of, date_column)
-    return capped(matching(dated, request.where), order_by, request.limit, request.max_records)
+def wanted_rows(df: DataFrame, request: ExportRequest, date_column: str = "processed_timestamp") -> DataFrame:
+    """Date filter, then predicate; the cap comes with the numbering."""
+    return matching(on_dates(df, request.date_filter, request.as_of, date_column), request.where)
 
 
 def export_rows(
@@ -27,12 +24,13 @@ def export_rows(
     order_by: list[str],
     date_column: str = "processed_timestamp",
 ) -> DataFrame:
-    """Deliver the selected rows; the summary as one row, all zero when nothing was selected.
-
-    The cap bounds the rows to number, so they go through one window.
-    """
-    rows = select_rows(df, request, order_by, date_column)
-    batched = batch_records(rows, order_by, request.batch_size, capped=True)
+    """Deliver the wanted rows up to the cap; the summary as one row, all zero when there are none."""
+    batched = batch_records(
+        wanted_rows(df, request, date_column),
+        order_by,
+        request.batch_size,
+        row_cap(request.limit, request.max_records),
+    )
     status = deliver_batches(batch_payloads(batched), send)
     return delivery_summary(status, request.batch_size)
 

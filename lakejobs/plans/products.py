@@ -11,7 +11,7 @@ from lakejobs.functions.categories import price_category
 from lakejobs.functions.metadata import add_processing_metadata
 from lakejobs.operators.quality import quality_products
 from lakejobs.plans.job import LakeJob
-from lakejobs.sources.api_pages import PAGE_SIZE, assemble_pages, parse_response
+from lakejobs.sources.api_pages import PAGE_SIZE, assemble_pages, parse_response, response_files
 
 
 def enrich_products(df: DataFrame) -> DataFrame:
@@ -23,7 +23,10 @@ def enrich_products(df: DataFrame) -> DataFrame:
 
 
 class ProductsJob(LakeJob):
-    """`pages` gives the table of `(page, response)` that the API's answers were stored in."""
+    """`pages` gives the table of `(page, response)` that the API's answers were stored in.
+
+    In the local environment `documents` may name a file or folder of whole responses instead.
+    """
 
     entity = "products"
     layer = "bronze"
@@ -32,13 +35,22 @@ class ProductsJob(LakeJob):
     preview_options = {"truncate": False, "schema": True}
 
     def __init__(
-        self, config, spark=None, pages: Callable[[], DataFrame | None] | None = None, page_size: int = PAGE_SIZE, **rest
+        self,
+        config,
+        spark=None,
+        pages: Callable[[], DataFrame | None] | None = None,
+        page_size: int = PAGE_SIZE,
+        documents: str | None = None,
+        **rest,
     ) -> None:
         super().__init__(config, spark, **rest)
+        self.documents = documents
         self.pages = pages
         self.page_size = page_size
 
     def extract(self) -> DataFrame | None:
+        if self.config.env == "local" and self.documents:
+            return parse_response(response_files(self.spark, self.documents))
         pages = self.pages() if self.pages else None
         return None if pages is None else parse_response(assemble_pages(pages, self.page_size))
 

@@ -86,3 +86,8 @@ def assemble_pages(
 def pages_from_responses(spark: SparkSession, responses: list[str]) -> DataFrame:
     """A page table from response texts held in memory, numbered from 1; for small fetches and tests."""
     return spark.createDataFrame(list(enumerate(responses, start=1)), "page bigint, response string")
+
+
+def response_files(spark: SparkSession, path: str) -> DataFrame:
+    """Responses kept as files, one whole document per file, pretty-printed or not."""
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "response")

@@ -223,6 +223,13 @@ ORACLES = {
         kind = 1 AND b = 'lake-1' AND starts_with(k, 'customers/') AND ends_with(k, '7.csv') AS matches,
         kind = 1 AND b = 'lake-0' AS matches_bucket
         FROM (SELECT event_id, event_id % 10 AS kind, {BUCKET} AS b, {KEY} AS k FROM events)""",
+    "event_rule_targets": f"""WITH e AS (SELECT event_id, event_type, event_id % 10 AS kind, {BUCKET} AS b, {KEY} AS k FROM events),
+        rules AS (SELECT DISTINCT b || ':' || event_type AS rule, b AS bucket,
+                         'customers/' || event_type || '/' AS prefix, '.csv' AS suffix FROM e
+                  UNION SELECT DISTINCT b, b, '', '1.csv' FROM e)
+        SELECT event_id, rule, b AS bucket, k AS object_key,
+               concat('{{"--bucket":"', b, '","--object_key":"', k, '","--env":"test"}}') AS arguments
+        FROM e JOIN rules ON bucket = b AND starts_with(k, prefix) AND ends_with(k, suffix) WHERE kind = 1""",
     "route_spec_parse": f"""WITH specs AS (SELECT c_custkey, string_split({CUSTOMER_SPEC}, ',') AS entries FROM customer),
         entries AS (SELECT c_custkey, unnest(entries) AS entry, generate_subscripts(entries, 1) AS pos FROM specs),
         parts AS (SELECT c_custkey, pos, trim(split_part(entry, ':', 1)) AS prefix,

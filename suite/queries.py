@@ -337,6 +337,24 @@ def event_rule_match(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.select("event_id", matches.alias("matches"), wide.alias("matches_bucket"))
 
 
+def event_rule_targets(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule per bucket and kind of event, and one per bucket for keys with a certain ending."""
+    events = table(spark, sf, "events")
+    bucket = F.expr(inputs.BUCKET)
+    by_kind = events.select(
+        F.concat(bucket, F.lit(":"), "event_type").alias("rule"),
+        bucket.alias("bucket"),
+        F.concat(F.lit("customers/"), "event_type", F.lit("/")).alias("prefix"),
+        F.lit(".csv").alias("suffix"),
+    )
+    by_ending = events.select(
+        bucket.alias("rule"), bucket.alias("bucket"), F.lit("").alias("prefix"), F.lit("1.csv").alias("suffix")
+    )
+    rules = by_kind.union(by_ending).distinct()
+    targets = notifications.rule_targets(_messages(spark, sf), rules, "test", keys=("event_id",))
+    return targets.withColumn("arguments", F.to_json("arguments"))
+
+
 def route_spec_parse(spark: SparkSession, sf: str) -> DataFrame:
     specs = table(spark, sf, "customer").select("c_custkey", F.expr(inputs.CUSTOMER_SPEC).alias("spec"))
     return routing.parse_route_specs(specs, keys=("c_custkey",))
@@ -438,6 +456,7 @@ QUERIES = {
     "events_envelope": events_envelope,
     "events_normalize": events_normalize,
     "event_rule_match": event_rule_match,
+    "event_rule_targets": event_rule_targets,
     "route_spec_parse": route_spec_parse,
     "route_longest_prefix": route_longest_prefix,
     "route_default": route_default,

@@ -1,0 +1,134 @@
+"""Column functions against hand-written rows."""
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from lakejobs.functions.categories import age_group, categorize_amount, price_category
+from lakejobs.functions.cleaning import clean_email, full_name, standardize_name, standardize_phone
+from lakejobs.functions.json_cells import record_json
+from lakejobs.functions.metadata import add_processing_metadata
+
+
+def apply(spark, function, values, kind="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    return [row[1] for row in df.select("i", function(F.col("v"))).orderBy("i").collect()]
+
+
+def check(spark, function, cases, kind="string"):
+    assert apply(spark, function, [before for before, _ in cases], kind) == [after for _, after in cases]
+
+
+def test_clean_email(spark):
+    check(
+        spark,
+        clean_email,
+        [
+            ("john@example.com", "john@example.com"),
+            ("JANE@DOMAIN.COM", "jane@domain.com"),
+            ("  bob@test.org ", "bob@test.org"),
+            ("a.b+c%d-e_f@x-y.example.museum", "a.b+c%d-e_f@x-y.example.museum"),
+            ("a@b..co", "a@b..co"),
+            ("a@b.c", None),
+            ("not_an_email", None),
+            ("@domain.com", None),
+            ("user@", None),
+            ("bob.johnson@invalid", None),
+            ("two@at@example.com", None),
+            ("", None),
+            (None, None),
+            ("\tA@B.CO", None),
+            ("A@B.CO\n", "a@b.co\n"),
+        ],
+    )
+
+
+def test_clean_email_is_idempotent(spark):
+    once = apply(spark, clean_email, ["  A@B.CO", "x", "Q@W.ORG "])
+    assert apply(spark, clean_email, once) == once
+
+
+def test_standardize_phone(spark):
+    cases = [
+        ("555-123-4567", "(555) 123-4567"),
+        ("5551234567", "(555) 123-4567"),
+        ("555 678 9012", "(555) 678-9012"),
+        ("555.789.0123", "(555) 789-0123"),
+        ("(555) 123-4567", "(555) 123-4567"),
+        ("+1-555-456-7890", "+1-555-456-7890"),
+        ("12345", "12345"),
+        ("no digits", "no digits"),
+        ("", ""),
+        (None, None),
+    ]
+    check(spark, standardize_phone, cases)
+    check(spark, standardize_phone, [(after, after) for _, after in cases])
+
+
+def test_standardize_name(spark):
+    check(
+        spark,
+        standardize_name,
+        [
+            ("  John  Doe  ", "John Doe"),
+            ("jane@#$%smith", "janesmith"),
+            ("Mary-Jane O'Connor", "Mary-Jane O'Connor"),
+            ("a & b", "a  b"),
+            ("tab\t\n\x0b line", "tab line"),
+            ("Jos\u00e9", "Jos"),
+            ("_x_", "_x_"),
+            ("!!!", None),
+            ("   ", None),
+            ("", None),
+            (None, None),
+        ],
+    )
+
+
+def test_full_name(spark):
+    rows = [("Ann", "Lee", "Ann Lee"), ("Ann", None, "Ann"), (None, "Lee", None), (None, None, None)]
+    df = spark.createDataFrame(rows, "f string, l string, want string")
+    assert [r[0] for r in df.select(full_name(F.col("f"), F.col("l"))).collect()] == [r[2] for r in rows]
+
+
+def test_categorize_amount_takes_decimals_doubles_and_nulls(spark):
+    cases = [(50, "small"), (99.99, "small"), (100, "medium"), (150, "medium"), (1000, "large"), (1500, "large"), (None, "large")]
+    check(spark, categorize_amount, [(None if a is None else float(a), w) for a, w in cases], "double")
+    decimals = [(None if a is None else Decimal(str(a)), w) for a, w in cases]
+    check(spark, categorize_amount, decimals, "decimal(10,2)")
+
+
+def test_categorize_amount_with_own_thresholds(spark):
+    cases = [(25, "small"), (75, "medium"), (150, "large"), (-1, "small"), (100, "large")]
+    check(spark, lambda c: categorize_amount(c, small_threshold=50, large_threshold=100), cases, "int")
+
+
+def test_price_category_and_age_group(spark):
+    check(spark, price_category, [(9.99, "budget"), (10.0, "mid_range"), (49.99, "mid_range"), (50.0, "premium")], "double")
+    check(spark, age_group, [(17, "minor"), (18, "adult"), (None, "minor")], "int")
+
+
+def test_metadata_is_fixed_by_the_run_time(spark):
+    moment = dt.datetime(2024, 3, 1, 12, tzinfo=dt.timezone.utc)
+    df = add_processing_metadata(spark.range(3), "job", "run", moment)
+    assert df.columns == ["id", "processed_timestamp", "processed_by_job", "job_run_id"]
+    rows = df.select(F.date_format("processed_timestamp", "yyyy-MM-dd HH:mm"), "processed_by_job", "job_run_id").distinct()
+    assert [tuple(r) for r in rows.collect()] == [("2024-03-01 12:00", "job", "run")]
+    assert add_processing_metadata(spark.range(1), "j", "r").first()["processed_timestamp"] is not None
+
+
+def test_record_json_keeps_nulls_and_bad_json(spark):
+    rows = [('{"a": 1, "b": [true, null]}', 1, None), ("[1, 2", 2, "x"), (' {"a":1}', 3, '[{"k":"\u00e9"}]'), ("\"q\"", 4, "")]
+    df = spark.createDataFrame(rows, "a string, b int, c string")
+    assert [r[0] for r in df.select(record_json(df)).collect()] == [
+        '{"a":{"a":1,"b":[true,null]},"b":"1","c":null}',
+        '{"a":"[1, 2","b":"2","c":"x"}',
+        '{"a":" {\\"a\\":1}","b":"3","c":[{"k":"\u00e9"}]}',
+        '{"a":"\\"q\\"","b":"4","c":""}',
+    ]
+
+
+def test_record_json_of_nested_columns(spark):
+    df = spark.sql("SELECT array(1, 2) AS a, named_struct('x', 1) AS s, true AS t, DATE'2024-01-02' AS d")
+    assert df.select(record_json(df)).first()[0] == '{"a":[1,2],"s":{"x":1},"t":"true","d":"2024-01-02"}'

@@ -46,6 +46,9 @@ _TOP = "struct<{}>".format(
     )
 )
 _CAPITALS = "struct<Bucket:variant,Key:variant>"
+_BUS_EVENT = (
+    "struct<source:string,`detail-type`:string,detail:struct<bucket:struct<name:string>,object:struct<key:string>>>"
+)
 _RECORDS = "array<struct<eventSource:string,eventName:variant,s3:variant>>"
 
 
@@ -221,13 +224,12 @@ def rule_targets(
     one bucket may hold most of the events, so rules beyond the broadcast limit are joined salted.
     """
     parsed = messages.select(*keys, F.try_parse_json(F.col(message)).alias("_message"))
-    created = parsed.select(
-        *keys,
-        _at(F.col("_message"), "$.source").alias("_source"),
-        _at(F.col("_message"), "$['detail-type']").alias("_type"),
-        _at(F.col("_message"), "$.detail.bucket.name").alias("bucket"),
-        _at(F.col("_message"), "$.detail.object.key").alias("object_key"),
-    ).filter((F.col("_source") == BUS_SOURCE) & (F.col("_type") == BUS_DETAIL_TYPE))
+    taken = parsed.select(*keys, _at(F.col("_message"), "$", _BUS_EVENT).alias("_bus"))
+    bus = F.col("_bus")
+    is_created = (bus["source"] == BUS_SOURCE) & (bus["detail-type"] == BUS_DETAIL_TYPE)
+    place = F.struct(bus["detail"]["bucket"]["name"].alias("bucket"), bus["detail"]["object"]["key"].alias("object_key"))
+    # An array of one or none instead of a filter: Spark would push the filter down and parse twice.
+    created = taken.select(*keys, F.inline(F.when(is_created, F.array(place))))
     wanted = rules.select("rule", "bucket", "prefix", "suffix")
     if limit.probe(wanted, wanted.columns) is not None:
         joined = created.join(F.broadcast(wanted), "bucket")

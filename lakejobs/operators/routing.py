@@ -16,6 +16,10 @@ DEFAULT_ROUTES = {
 }
 DEFAULT_ENV = "dev"
 
+# Up to so many routes, looking through one group costs less than further hash probes.
+ONE_TIER_ROUTES = 64
+MAX_TIERS = 8
+
 
 def _strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
@@ -62,26 +66,37 @@ def route_longest_prefix(
     broadcast and `df` is not shuffled. A larger one is joined on the keys' own prefixes.
     """
     usable = routes.filter(F.col("prefix") != "").select("prefix", F.col("job").alias("_job"))
-    small = limit.probe(usable, ["prefix", "_job"], F.min(F.length("prefix")).alias("shortest"))
+    small = limit.probe(usable, ["prefix", "_job"], F.collect_set(F.length("prefix")).alias("lengths"))
     if small is None:
         routed = _route_shuffled(df, usable, key, spread_by or [key], salts)
-    elif small["shortest"] is None:
-        routed = df.withColumn("_job", F.lit(None).cast("string"))
     else:
-        routed = _route_broadcast(df, usable, key, small["shortest"])
+        tiers = 1 if small["_rows"] <= ONE_TIER_ROUTES else MAX_TIERS
+        routed = _route_broadcast(df, usable, key, sorted(small["lengths"]), tiers)
     return routed.withColumn(job, F.nullif(F.col("_job"), F.lit(""))).drop("_job")
 
 
-def _route_broadcast(df: DataFrame, routes: DataFrame, key: str, shortest: int) -> DataFrame:
-    """One hash probe per row: the routes lie grouped under their first `shortest` characters."""
-    candidate = F.struct((-F.length("prefix")).alias("rank"), "prefix", "_job")
-    heads = routes.groupBy(F.substring("prefix", 1, shortest).alias("_head")).agg(
-        F.sort_array(F.collect_list(candidate)).alias("_routes")
-    )
-    with_head = df.withColumn("_head", F.substring(F.col(key), 1, shortest))
-    probed = with_head.join(F.broadcast(heads), "_head", "left")
-    matching = F.filter("_routes", lambda route: F.startswith(F.col(key), route["prefix"]))
-    return probed.withColumn("_job", F.get(matching, F.lit(0))["_job"]).drop("_head", "_routes")
+def _route_broadcast(df: DataFrame, routes: DataFrame, key: str, lengths: list[int], tiers: int) -> DataFrame:
+    """Hash probes without a shuffle, one per tier of prefix lengths.
+
+    The routes of a tier lie grouped under as many first characters as its shortest prefix has. A
+    key finds its group by one probe and looks for the longest prefix there.
+    """
+    step = max(1, -(-len(lengths) // tiers))
+    floors = lengths[::step]
+    matches = []
+    for tier, (low, high) in enumerate(zip(floors, [*floors[1:], None])):
+        length = F.length("prefix")
+        within = routes.filter((length >= low) & (length < high) if high else length >= low)
+        candidate = F.struct((-length).alias("rank"), "prefix", "_job")
+        heads = within.groupBy(F.substring("prefix", 1, low).alias("_head")).agg(
+            F.sort_array(F.collect_list(candidate)).alias(f"_tier{tier}")
+        )
+        df = df.withColumn("_head", F.substring(F.col(key), 1, low))
+        df = df.join(F.broadcast(heads), "_head", "left").drop("_head")
+        matching = F.filter(f"_tier{tier}", lambda route: F.startswith(F.col(key), route["prefix"]))
+        matches.insert(0, F.get(matching, F.lit(0))["_job"])
+    found = F.coalesce(*matches) if matches else F.lit(None).cast("string")
+    return df.withColumn("_job", found).drop(*[f"_tier{tier}" for tier in range(len(floors))])
 
 
 def _route_shuffled(df: DataFrame, routes: DataFrame, key: str, spread_by: list[str], salts: int) -> DataFrame:

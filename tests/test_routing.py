@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lakejobs.operators import routing
 from lakejobs.operators.bounded import BroadcastLimit, salted_join
 from lakejobs.operators.routing import default_route, parse_route_specs, route_jobs, route_longest_prefix
 
@@ -46,12 +47,14 @@ def longest(key, routes):
     return routes[max(fitting, key=len)] if fitting else None
 
 
+@pytest.mark.parametrize("one_tier", [0, 1000])
 @pytest.mark.parametrize("limit", [BroadcastLimit(), BroadcastLimit(chars=10), NOTHING_FITS])
-def test_longest_prefix_against_brute_force(spark, limit):
+def test_longest_prefix_against_brute_force(spark, monkeypatch, limit, one_tier):
+    monkeypatch.setattr(routing, "ONE_TIER_ROUTES", one_tier)
     rng = random.Random(3)
-    routes = {"".join(rng.choices("ab/", k=rng.randint(0, 6))): f"j{i}" for i in range(60)}
+    routes = {"".join(rng.choices("ab/", k=rng.randint(0, 12))): f"j{i}" for i in range(150)}
     hot = "ab/ab/x"
-    keys = ["".join(rng.choices("ab/c", k=rng.randint(0, 9))) for _ in range(400)] + [hot] * 300 + [None, "", "\u00e9a"]
+    keys = ["".join(rng.choices("ab/c", k=rng.randint(0, 14))) for _ in range(400)] + [hot] * 300 + [None, "", "\u00e9a"]
     routes["\u00e9"] = "accent"
     df = spark.createDataFrame(list(enumerate(keys)), "i int, object_key string").repartition(4)
     table = spark.createDataFrame(list(routes.items()), "prefix string, job string")

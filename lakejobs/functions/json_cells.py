@@ -7,13 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def cell_text(df: DataFrame, name: str) -> Column:
-    """The cell as text; arrays, maps and structs become JSON text."""
-    column = df[name]
-    nested = isinstance(df.schema[name].dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
-    return F.to_json(column) if nested else column.cast("string")
-
-
 def json_cell(text: Column) -> Column:
     """VARIANT holding the parsed JSON where the text starts like an object or array and parses, else the text.
 
@@ -23,7 +16,17 @@ def json_cell(text: Column) -> Column:
     return F.coalesce(parsed, text.cast("variant"))
 
 
+def record_cell(df: DataFrame, name: str) -> Column:
+    """The cell as it goes into a record: JSON text parsed, nested values as they are, others as text."""
+    column, kind = df[name], df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        return json_cell(column)
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return column
+    return column.cast("string")
+
+
 def record_json(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """One JSON object per row: every value as text, JSON text as JSON, NULL kept as null."""
-    cells = [json_cell(cell_text(df, name)).alias(name) for name in columns or df.columns]
+    """One JSON object per row, with NULL kept as null."""
+    cells = [record_cell(df, name).alias(name) for name in columns or df.columns]
     return F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})

@@ -25,6 +25,15 @@ class BroadcastLimit:
         found = df.limit(self.rows + 1).agg(*measures, *facts).first()
         return found if found["_rows"] <= self.rows and found["_chars"] <= self.chars else None
 
+    def local_copy(self, df: DataFrame, texts: list[str]) -> DataFrame | None:
+        """The rows of `df` held by the driver if they are within the limit, else None.
+
+        Plans that use the copy do not compute `df` again.
+        """
+        if self.probe(df, texts) is None:
+            return None
+        return df.sparkSession.createDataFrame(df.limit(self.rows + 1).toArrow(), df.schema)
+
 
 def salted_join(
     large: DataFrame, small: DataFrame, on: list[str], spread: Column, how: str = "inner", salts: int = 16

@@ -231,8 +231,9 @@ def rule_targets(
     # An array of one or none instead of a filter: Spark would push the filter down and parse twice.
     created = taken.select(*keys, F.inline(F.when(is_created, F.array(place))))
     wanted = rules.select("rule", "bucket", "prefix", "suffix")
-    if limit.probe(wanted, wanted.columns) is not None:
-        joined = created.join(F.broadcast(wanted), "bucket")
+    small = limit.local_copy(wanted, wanted.columns)
+    if small is not None:
+        joined = created.join(F.broadcast(small), "bucket")
     else:
         joined = salted_join(created, wanted, ["bucket"], spread=F.col("object_key"), salts=salts)
     key = F.col("object_key")

@@ -66,23 +66,24 @@ def route_longest_prefix(
     broadcast and `df` is not shuffled. A larger one is joined on the keys' own prefixes.
     """
     usable = routes.filter(F.col("prefix") != "").select("prefix", F.col("job").alias("_job"))
-    small = limit.probe(usable, ["prefix", "_job"], F.collect_set(F.length("prefix")).alias("lengths"))
+    small = limit.local_copy(usable, ["prefix", "_job"])
     if small is None:
         routed = _route_shuffled(df, usable, key, spread_by or [key], salts)
     else:
-        tiers = 1 if small["_rows"] <= ONE_TIER_ROUTES else MAX_TIERS
-        routed = _route_broadcast(df, usable, key, sorted(small["lengths"]), tiers)
+        routed = _route_broadcast(df, small, key)
     return routed.withColumn(job, F.nullif(F.col("_job"), F.lit(""))).drop("_job")
 
 
-def _route_broadcast(df: DataFrame, routes: DataFrame, key: str, lengths: list[int], tiers: int) -> DataFrame:
+def _route_broadcast(df: DataFrame, routes: DataFrame, key: str) -> DataFrame:
     """Hash probes without a shuffle, one per tier of prefix lengths.
 
     The routes of a tier lie grouped under as many first characters as its shortest prefix has. A
     key finds its group by one probe and looks for the longest prefix there.
     """
-    step = max(1, -(-len(lengths) // tiers))
-    floors = lengths[::step]
+    sizes = routes.groupBy(F.length("prefix").alias("length")).count().collect()
+    lengths = sorted(row["length"] for row in sizes)
+    tiers = 1 if sum(row["count"] for row in sizes) <= ONE_TIER_ROUTES else MAX_TIERS
+    floors = lengths[:: max(1, -(-len(lengths) // tiers))]
     matches = []
     for tier, (low, high) in enumerate(zip(floors, [*floors[1:], None])):
         length = F.length("prefix")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from lakejobs.operators.bounded import BroadcastLimit
 from lakejobs.operators.notifications import dispatch_plan
 from lakejobs.operators.routing import DEFAULT_ENV
 from lakejobs.streaming.ingest import finish
@@ -26,6 +27,9 @@ def dispatch_stream(
     failure leaves no second copy. Read the result with `spark.read.parquet(sink)`.
     """
 
+    if routes is not None:
+        routes = BroadcastLimit().local_copy(routes, ["prefix", "job"]) or routes
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         plan = dispatch_plan(batch, routes, env, message, keys, **options)
         plan.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")

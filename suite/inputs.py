@@ -61,17 +61,18 @@ FOLDER_KEY = f"""concat(CASE page_id % 6 WHEN 0 THEN 'sales/' WHEN 1 THEN 'custo
 BUCKET = "concat('lake-', user_id % 3)"
 KEY = """concat(CASE user_id % 6 WHEN 0 THEN 'sales/' WHEN 1 THEN 'customers/' WHEN 2 THEN 'inventory/'
     WHEN 3 THEN 'data/' WHEN 4 THEN 'data/special/' ELSE 'other/' END, event_type, '/', event_id, '.csv')"""
-_S3 = f"""'"s3":{{"bucket":{{"name":"', {BUCKET}, '"}},"object":{{"key":"', {KEY}"""
+_S3 = f"""'"s3":{{"bucket":{{"name":"', b, '"}},"object":{{"key":"', k"""
+# In terms of the bucket `b` and the key `k`.
 MESSAGE = f"""CASE event_id % 10
     WHEN 0 THEN concat('{{"Records":[{{"eventSource":"aws:s3","eventName":"ObjectCreated:Put",', {_S3}, '"}}}}}},{{"eventSource":"aws:sqs"}}]}}')
-    WHEN 1 THEN concat('{{"source":"aws.s3","detail-type":"Object Created","detail":{{"bucket":{{"name":"', {BUCKET}, '"}},"object":{{"key":"', {KEY}, '"}}}}}}')
-    WHEN 2 THEN concat('{{"bucket":"', {BUCKET}, '","object_key":"', {KEY}, '","event_name":"ObjectCreated:Copy"}}')
-    WHEN 3 THEN concat('{{"bucketName":"', {BUCKET}, '","Key":"', {KEY}, '","eventName":"Put"}}')
+    WHEN 1 THEN concat('{{"source":"aws.s3","detail-type":"Object Created","detail":{{"bucket":{{"name":"', b, '"}},"object":{{"key":"', k, '"}}}}}}')
+    WHEN 2 THEN concat('{{"bucket":"', b, '","object_key":"', k, '","event_name":"ObjectCreated:Copy"}}')
+    WHEN 3 THEN concat('{{"bucketName":"', b, '","Key":"', k, '","eventName":"Put"}}')
     WHEN 4 THEN concat('{{"invalid":"', event_type, '"}}')
     WHEN 5 THEN concat('not json ', event_type, ' {{')
     WHEN 6 THEN '{{"Records":[{{"eventSource":"aws:s3","s3":{{"bucket":{{"name":"b"}},"object":{{"key":""}}}}}}]}}'
-    WHEN 7 THEN concat('{{"Bucket":"","s3Bucket":"z","key":"', {KEY}, '"}}')
-    WHEN 8 THEN concat('{{"bucket":"', {BUCKET}, '","object_key":"', {KEY}, '","detail":{{"x":1}}}}')
+    WHEN 7 THEN concat('{{"Bucket":"","s3Bucket":"z","key":"', k, '"}}')
+    WHEN 8 THEN concat('{{"bucket":"', b, '","object_key":"', k, '","detail":{{"x":1}}}}')
     ELSE concat('{{"Records":[{{"eventSource":"aws:s3",', {_S3}, '"}}}}}},{{"eventSource":"aws:s3",', {_S3}, '.bak"}}}}}}]}}') END"""
 ROUTE_SPEC = "data/:bulk_load, data/special/:special_load ,no colon,inventory/:old_load,inventory/:stock_load"
 CUSTOMER_SPEC = """concat('orders/', c_nationkey, ':load-', c_custkey, ' , not a route,  sales/:', c_mktsegment,
@@ -139,7 +140,8 @@ def fetch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(events: DataFrame) -> DataFrame:
-    return events.select("event_id", F.expr(MESSAGE).alias("message"))
+    placed = events.select("event_id", "event_type", F.expr(BUCKET).alias("b"), F.expr(KEY).alias("k"))
+    return placed.select("event_id", F.expr(MESSAGE).alias("message"))
 
 
 def envelopes(events: DataFrame) -> DataFrame:
@@ -148,7 +150,7 @@ def envelopes(events: DataFrame) -> DataFrame:
     def record(source: str, text) -> F.Column:
         return F.struct(F.lit(source).alias("EventSource"), F.struct(text.alias("Message")).alias("Sns"))
 
-    message = F.expr(MESSAGE)
+    message = F.col("message")
     queued, foreign = record("aws:sns", message), record("aws:ses", F.lit("x"))
     second, empty = record("aws:sns", F.concat(F.lit(" "), message)), record("aws:sns", F.lit(None).cast("string"))
     kind = F.col("event_id") % 4
@@ -158,7 +160,7 @@ def envelopes(events: DataFrame) -> DataFrame:
         .when(kind == 2, F.array(queued, second))
         .otherwise(F.array(empty))
     )
-    return events.select("event_id", F.to_json(F.struct(records.alias("Records"))).alias("envelope"))
+    return messages(events).select("event_id", F.to_json(F.struct(records.alias("Records"))).alias("envelope"))
 
 
 def run_time() -> dt.datetime:

@@ -214,7 +214,8 @@ ORACLES = {
             ORDER BY event_id LIMIT 10000),
         status AS (SELECT (rn - 1) // 100 + 1 AS batch_number, count(*) AS records FROM numbered GROUP BY 1)
         {_SUMMARY}""",
-    "events_envelope": f"""WITH m AS (SELECT event_id, {MESSAGE} AS message FROM events)
+    "events_envelope": f"""WITH base AS (SELECT event_id, event_type, {BUCKET} AS b, {KEY} AS k FROM events),
+        m AS (SELECT event_id, {MESSAGE} AS message FROM base)
         SELECT event_id, CAST(CASE event_id % 4 WHEN 1 THEN 2 ELSE 1 END AS INTEGER) AS record_no,
                CASE WHEN event_id % 4 < 3 THEN message END AS message FROM m
         UNION ALL SELECT event_id, 2, ' ' || message FROM m WHERE event_id % 4 = 2""",

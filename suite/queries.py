@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakejobs.config import ExportRequest, JobConfig
 from lakejobs.functions import cleaning
 from lakejobs.functions.categories import age_group, categorize_amount
-from lakejobs.functions.json_cells import cell_text, json_cell
+from lakejobs.functions.json_cells import record_cell
 from lakejobs.functions.metadata import add_processing_metadata
 from lakejobs.operators import batching, notifications, quality, routing, selection
 from lakejobs.plans.customers import CustomersJob, clean_customers
@@ -218,7 +218,7 @@ def add_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_cells(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
-    props, kind = json_cell(cell_text(events, "props")), json_cell(cell_text(events, "event_type"))
+    props, kind = record_cell(events, "props"), record_cell(events, "event_type")
     return events.select(
         "event_id",
         F.try_variant_get(props, "$.k", "int").alias("k"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import importlib
+import logging
 import sys
 
 from lakejobs.config import DATE_FILTERS, ExportRequest, JobConfig
@@ -61,6 +62,7 @@ def main(argv: list[str]) -> int:
     if not argv or argv[0] not in COMMANDS:
         print(f"usage: python -m lakejobs {{{','.join(COMMANDS)}}} ...", file=sys.stderr)
         return 2
+    logging.basicConfig(format="%(asctime)s %(levelname)s %(name)s %(message)s")
     return 0 if COMMANDS[argv[0]](argv[1:]) else 1
 
 

@@ -4,35 +4,30 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
 class BroadcastLimit:
-    """How many rows and characters of text a side may hold to be sent to every executor."""
+    """How many rows a side may hold to be sent to every executor, and how much text each row."""
 
     rows: int = 10_000
-    chars: int = 4_000_000
-
-    def probe(self, df: DataFrame, texts: list[str], *facts: Column) -> Row | None:
-        """`facts` aggregated over `df` if it is within the limit, else None.
-
-        Reading stops one row past the limit, so a large `df` costs no more than a small one.
-        """
-        chars = sum((F.coalesce(F.length(F.col(name)), F.lit(0)) for name in texts), F.lit(0).cast("bigint"))
-        measures = [F.count(F.lit(1)).alias("_rows"), F.coalesce(F.sum(chars), F.lit(0)).alias("_chars")]
-        found = df.limit(self.rows + 1).agg(*measures, *facts).first()
-        return found if found["_rows"] <= self.rows and found["_chars"] <= self.chars else None
+    row_chars: int = 2_000
 
     def local_copy(self, df: DataFrame, texts: list[str]) -> DataFrame | None:
         """The rows of `df` held by the driver if they are within the limit, else None.
 
-        Plans that use the copy do not compute `df` again.
+        Reading stops one row past the limit, and text of rows that are too long stays where it is, so
+        the driver never holds more than the limit allows. Plans that use the copy do not compute `df` again.
         """
-        if self.probe(df, texts) is None:
+        chars = sum((F.coalesce(F.length(F.col(name)), F.lit(0)) for name in texts), F.lit(0))
+        fits = chars <= self.row_chars
+        guarded = [F.when(fits, F.col(name)).alias(name) if name in texts else F.col(name) for name in df.columns]
+        rows = df.limit(self.rows + 1).select(*guarded, fits.alias("_fits")).toArrow()
+        if rows.num_rows > self.rows or not all(rows.column("_fits").to_pylist()):
             return None
-        return df.sparkSession.createDataFrame(df.limit(self.rows + 1).toArrow(), df.schema)
+        return df.sparkSession.createDataFrame(rows.drop_columns(["_fits"]), df.schema)
 
 
 def salted_join(

@@ -293,6 +293,19 @@ def dispatch_plan(
     )
 
 
+def dispatch_envelopes(
+    envelopes: DataFrame,
+    routes: DataFrame | None = None,
+    env: str = DEFAULT_ENV,
+    envelope: str = "envelope",
+    keys: tuple[str, ...] = (),
+    **options,
+) -> DataFrame:
+    """The dispatch plan of every queue record in the envelopes, keyed by `(*keys, record_no)`."""
+    messages = unwrap_envelopes(envelopes, envelope, keys)
+    return dispatch_plan(messages, routes, env, keys=(*keys, "record_no"), **options)
+
+
 def dispatch_summary(plan: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Per message: its status and how many jobs it starts. Rows of one message meet map-side first."""
     started = F.count_if(F.col("job_name").isNotNull())

@@ -80,9 +80,9 @@ def _route_broadcast(df: DataFrame, routes: DataFrame, key: str) -> DataFrame:
     The routes of a tier lie grouped under as many first characters as its shortest prefix has. A
     key finds its group by one probe and looks for the longest prefix there.
     """
-    sizes = routes.groupBy(F.length("prefix").alias("length")).count().collect()
-    lengths = sorted(row["length"] for row in sizes)
-    tiers = 1 if sum(row["count"] for row in sizes) <= ONE_TIER_ROUTES else MAX_TIERS
+    prefixes = [row["prefix"] for row in routes.collect()]
+    lengths = sorted({len(prefix) for prefix in prefixes})
+    tiers = 1 if len(prefixes) <= ONE_TIER_ROUTES else MAX_TIERS
     floors = lengths[:: max(1, -(-len(lengths) // tiers))]
     matches = []
     for tier, (low, high) in enumerate(zip(floors, [*floors[1:], None])):

@@ -11,6 +11,7 @@ from lakejobs.functions.categories import price_category
 from lakejobs.functions.metadata import add_processing_metadata
 from lakejobs.operators.quality import quality_products
 from lakejobs.plans.job import LakeJob
+from lakejobs.session import stage
 from lakejobs.sources.api_pages import PAGE_SIZE, assemble_pages, parse_response, response_files
 
 
@@ -25,7 +26,9 @@ def enrich_products(df: DataFrame) -> DataFrame:
 class ProductsJob(LakeJob):
     """`pages` gives the table of `(page, response)` that the API's answers were stored in.
 
-    In the local environment `documents` may name a file or folder of whole responses instead.
+    In the local environment `documents` may name a file or folder of whole responses instead. The
+    products are written to the shared folder once they are parsed: the gate and the write then read
+    columns instead of assembling and parsing the pages again.
     """
 
     entity = "products"
@@ -52,7 +55,7 @@ class ProductsJob(LakeJob):
         if self.config.env == "local" and self.documents:
             return parse_response(response_files(self.spark, self.documents))
         pages = self.pages() if self.pages else None
-        return None if pages is None else parse_response(assemble_pages(pages, self.page_size))
+        return None if pages is None else stage(parse_response(assemble_pages(pages, self.page_size)), "products")
 
     def transform(self, df: DataFrame) -> DataFrame:
         return add_processing_metadata(

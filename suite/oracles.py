@@ -253,5 +253,14 @@ ORACLES = {
                               WHEN count(event_no) = 0 THEN 'skipped' ELSE 'success' END AS status,
                count(job_name) AS jobs_started
         FROM plan GROUP BY event_id""",
+    "envelope_dispatch": f"""WITH {_PLAN},
+        outcome AS (SELECT event_id, CASE WHEN max(status) FILTER (WHERE status = 'error') IS NOT NULL THEN 'error'
+                           WHEN count(event_no) = 0 THEN 'skipped' ELSE 'success' END AS status,
+                           count(job_name) AS jobs_started FROM plan GROUP BY event_id),
+        sent AS (SELECT event_id, CAST(CASE event_id % 4 WHEN 1 THEN 2 ELSE 1 END AS INTEGER) AS record_no FROM events
+                 UNION ALL SELECT event_id, 2 FROM events WHERE event_id % 4 = 2)
+        SELECT event_id, record_no, CASE WHEN event_id % 4 = 3 THEN 'error' ELSE status END AS status,
+               CASE WHEN event_id % 4 = 3 THEN 0 ELSE jobs_started END AS jobs_started
+        FROM sent JOIN outcome USING (event_id)""",
     "stream_dispatch": f"WITH {_PLAN} SELECT * FROM plan",
 }

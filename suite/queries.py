@@ -403,6 +403,12 @@ def dispatch_summary(spark: SparkSession, sf: str) -> DataFrame:
     return notifications.dispatch_summary(plan, ("event_id",))
 
 
+def envelope_dispatch(spark: SparkSession, sf: str) -> DataFrame:
+    envelopes = inputs.envelopes(table(spark, sf, "events"))
+    plan = notifications.dispatch_envelopes(envelopes, _routes(spark), "test", keys=("event_id",))
+    return notifications.dispatch_summary(plan, ("event_id", "record_no"))
+
+
 def stream_dispatch(spark: SparkSession, sf: str) -> DataFrame:
     sink, checkpoint = fresh_path(spark, "dispatched"), fresh_path(spark, "dispatch-checkpoint")
     events = stream_files(spark, sf, table(spark, sf, "events").schema, pattern="events.parquet")
@@ -462,5 +468,6 @@ QUERIES = {
     "route_default": route_default,
     "dispatch_plan": dispatch_plan,
     "dispatch_summary": dispatch_summary,
+    "envelope_dispatch": envelope_dispatch,
     "stream_dispatch": stream_dispatch,
 }

@@ -48,7 +48,7 @@ def longest(key, routes):
 
 
 @pytest.mark.parametrize("one_tier", [0, 1000])
-@pytest.mark.parametrize("limit", [BroadcastLimit(), BroadcastLimit(chars=10), NOTHING_FITS])
+@pytest.mark.parametrize("limit", [BroadcastLimit(), BroadcastLimit(row_chars=5), NOTHING_FITS])
 def test_longest_prefix_against_brute_force(spark, monkeypatch, limit, one_tier):
     monkeypatch.setattr(routing, "ONE_TIER_ROUTES", one_tier)
     rng = random.Random(3)
@@ -73,11 +73,12 @@ def test_no_routes_at_all(spark, limit):
 
 
 def test_limit_measures_rows_and_text(spark):
-    df = spark.range(10).select(F.lit("x" * 10).alias("t"))
-    assert BroadcastLimit(10, 100).probe(df, ["t"]) is not None
-    assert BroadcastLimit(9, 100).probe(df, ["t"]) is None
-    assert BroadcastLimit(10, 99).probe(df, ["t"]) is None
-    assert BroadcastLimit().probe(df, ["t"], F.max("t").alias("m"))["m"] == "x" * 10
+    df = spark.range(10).select("id", F.lit("x" * 10).alias("t"), F.lit(None).cast("string").alias("n"))
+    copy = BroadcastLimit(10, 10).local_copy(df, ["t", "n"])
+    assert copy.schema == df.schema and sorted(copy.collect()) == sorted(df.collect())
+    assert BroadcastLimit(9, 10).local_copy(df, ["t", "n"]) is None
+    assert BroadcastLimit(10, 9).local_copy(df, ["t", "n"]) is None
+    assert BroadcastLimit().local_copy(df.limit(0), ["t"]).count() == 0
 
 
 def test_salted_join_keeps_every_pair(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakejobs.config import ExportRequest
 from lakejobs.operators.batching import batch_payloads, batch_records, deliver_batches, delivery_summary
 from lakejobs.operators.selection import matching, on_dates, row_cap
+from lakejobs.session import scratch
 from lakejobs.sources.catalog import read_table
 
 
@@ -44,8 +45,9 @@ def export_table(
     date_column: str = "processed_timestamp",
 ) -> dict:
     """Run one export; `{"status": "no_data"}` when nothing was selected, else `delivered` with the summary."""
-    summary = export_rows(read_table(spark, request.table, columns), request, send, order_by, date_column)
-    result = summary.first().asDict()
+    rows = read_table(spark, request.table, columns)
+    with scratch(spark):
+        result = export_rows(rows, request, send, order_by, date_column).first().asDict()
     if result["total_records"] == 0:
         return {"status": "no_data", "total_records": 0}
     return {"status": "delivered", **result}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from lakejobs.config import JobConfig
 from lakejobs.operators.quality import missing_columns, quality_base
-from lakejobs.session import session
+from lakejobs.session import scratch, session
 from lakejobs.sinks.reports import REPORT_TABLE, append_report, run_report
 from lakejobs.sinks.tables import show_preview, table_name, write_table
 
@@ -87,7 +87,8 @@ class LakeJob:
 
     def run(self) -> bool:
         try:
-            return self._run()
+            with scratch(self.spark):
+                return self._run()
         except Exception as error:
             self.logger.error("job failed: %s", error)
             self._report(error=f"Job failed: {error}")

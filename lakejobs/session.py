@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def session(app_name: str) -> tuple[SparkSession, bool]:
@@ -48,7 +52,27 @@ def fresh_path(spark: SparkSession, purpose: str) -> str:
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write `df` once to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    Inside `scratch` the copy lives until the end of the block, else until someone clears the folder.
+    """
     path = fresh_path(df.sparkSession, purpose)
+    kept = _scratch.get()
+    if kept is not None:
+        kept.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was staged inside; for work that has run its last action by then."""
+    paths: list[str] = []
+    outer = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(outer)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

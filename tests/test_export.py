@@ -11,6 +11,7 @@ from lakejobs.operators import batching, selection
 from lakejobs.operators.batching import batch_payloads, batch_records, deliver_batches, delivery_summary, number_rows
 from lakejobs.operators.selection import capped, matching, on_dates, row_cap
 from lakejobs.plans.export import export_rows, export_table
+from lakejobs.session import fresh_path, shared_dir, stage
 
 DAYS = [f"2024-01-{day:02d} {time}" for day in range(5, 19) for time in ("00:00:00", "12:30:00", "23:59:59")]
 
@@ -150,6 +151,27 @@ def test_export_delivers_the_capped_rows(spark, stamped, tmp_path, monkeypatch,
     assert sorted(os.listdir(tmp_path)) == ["1", "2", "3"]
 
 
+def staged(spark):
+    folder = os.path.join(shared_dir(spark), "lakejobs")
+    return set(os.listdir(folder)) if os.path.exists(folder) else set()
+
+
+@pytest.mark.parametrize("one_task", [batching.ONE_TASK_ROWS, 0])
+def test_finished_work_leaves_nothing_in_the_shared_folder(spark, monkeypatch, one_task):
+    monkeypatch.setattr(batching, "ONE_TASK_ROWS", one_task)
+    spark.range(10).selectExpr("id", "current_timestamp() AS processed_timestamp").createOrReplaceTempView("fresh_rows")
+    before = staged(spark)
+    result = export_table(spark, ExportRequest.scheduled("fresh_rows", "today"), len, ["id"])
+    assert result["total_records"] == 10 and staged(spark) == before
+    kept = stage(spark.range(5), "kept")
+    assert len(staged(spark)) == len(before) + 1 and kept.count() == 5
+
+
+def test_the_shared_folder_is_the_one_the_session_names(spark):
+    assert fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/lakejobs/x-")
+    assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
 def test_export_of_a_table(spark, stamped, tmp_path):
     stamped.createOrReplaceTempView("lake_rows")
     request = ExportRequest.on_demand("lake_rows", as_of="2024-01-12")

@@ -17,8 +17,9 @@ from lakejobs.session import session
 def _customers(argv: list[str]) -> bool:
     parser = argparse.ArgumentParser(prog="lakejobs customers", allow_abbrev=False)
     parser.add_argument("--base_path", required=True)
+    parser.add_argument("--schema", help="columns in file order, like 'customer_id int, email string'; spares inference")
     options, _ = parser.parse_known_args(argv)
-    return CustomersJob(JobConfig.from_args(argv), base_path=options.base_path).run()
+    return CustomersJob(JobConfig.from_args(argv), base_path=options.base_path, schema=options.schema).run()
 
 
 def _products(argv: list[str]) -> bool:

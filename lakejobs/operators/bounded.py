@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -30,14 +33,42 @@ class BroadcastLimit:
         return df.sparkSession.createDataFrame(rows.drop_columns(["_fits"]), df.schema)
 
 
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, T.StructType) or all(_hashable(field.dataType) for field in kind)
+
+
 def salted_join(
-    large: DataFrame, small: DataFrame, on: list[str], spread: Column, how: str = "inner", salts: int = 16
+    large: DataFrame,
+    small: DataFrame,
+    on: list[str],
+    spread: list[str] | None = None,
+    how: str = "inner",
+    hottest: int = 200,
+    salts: int | None = None,
 ) -> DataFrame:
-    """Equi-join in which each key of `large` is cut into `salts` parts by the value of `spread`.
+    """Equi-join (inner or left) that cuts the most frequent keys of `large` into `salts` parts.
 
-    `small` is repeated once per salt, so every row still meets all its partners. `spread` must be
-    a function of the row's values: a salt that changes when a task is repeated could lose rows.
+    The `hottest` keys are found by a count, so any key with a larger share than one in `hottest` is
+    among them. Their rows in `small` are repeated once per part, and every row still meets all its
+    partners; rows of other keys are neither cut nor repeated. Rows with a NULL key, which have no
+    partner, are spread too. Parts are told by a hash of the `spread` columns (by default all that can
+    be hashed), as a part must not change when a task is repeated. There are as many parts as shuffle
+    partitions unless told otherwise.
     """
-    salted = large.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    spark = large.sparkSession
+    salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = spread or [field.name for field in large.schema if _hashable(field.dataType)]
+    counts = large.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    top = counts.orderBy(F.desc("_rows")).limit(hottest).select(*on)
+    hot = F.broadcast(spark.createDataFrame(top.toArrow(), top.schema).withColumn("_hot", F.lit(True)))
+
+    no_key = reduce(or_, [F.col(name).isNull() for name in on])
+    part = F.pmod(F.xxhash64(*[F.col(name) for name in spread]), F.lit(salts)).cast("int")
+    salted = large.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot") | no_key, part).otherwise(0))
+    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = small.join(hot, on, "left").withColumn("_salt", F.explode(parts))
+    return salted.drop("_hot").join(repeated.drop("_hot"), [*on, "_salt"], how).drop("_salt")

@@ -216,7 +216,6 @@ def rule_targets(
     message: str = "message",
     keys: tuple[str, ...] = (),
     limit: BroadcastLimit = BroadcastLimit(),
-    salts: int = 16,
 ) -> DataFrame:
     """Rows `(*keys, rule, bucket, object_key, arguments)`: every rule that an event-bus message fits.
 
@@ -227,7 +226,8 @@ def rule_targets(
     taken = parsed.select(*keys, _at(F.col("_message"), "$", _BUS_EVENT).alias("_bus"))
     bus = F.col("_bus")
     is_created = (bus["source"] == BUS_SOURCE) & (bus["detail-type"] == BUS_DETAIL_TYPE)
-    place = F.struct(bus["detail"]["bucket"]["name"].alias("bucket"), bus["detail"]["object"]["key"].alias("object_key"))
+    bucket, key = bus["detail"]["bucket"]["name"], bus["detail"]["object"]["key"]
+    place = F.struct(bucket.alias("bucket"), key.alias("object_key"))
     # An array of one or none instead of a filter: Spark would push the filter down and parse twice.
     created = taken.select(*keys, F.inline(F.when(is_created, F.array(place))))
     wanted = rules.select("rule", "bucket", "prefix", "suffix")
@@ -235,12 +235,10 @@ def rule_targets(
     if small is not None:
         joined = created.join(F.broadcast(small), "bucket")
     else:
-        joined = salted_join(created, wanted, ["bucket"], spread=F.col("object_key"), salts=salts)
-    key = F.col("object_key")
-    fitting = joined.filter(F.startswith(key, F.col("prefix")) & F.endswith(key, F.col("suffix")))
-    return fitting.select(
-        *keys, "rule", "bucket", "object_key", job_arguments(F.col("bucket"), key, env, metrics=False).alias("arguments")
-    )
+        joined = salted_join(created, wanted, ["bucket"])
+    fitting = joined.filter(F.expr("startswith(object_key, prefix) AND endswith(object_key, suffix)"))
+    arguments = job_arguments(F.col("bucket"), F.col("object_key"), env, metrics=False)
+    return fitting.select(*keys, "rule", "bucket", "object_key", arguments.alias("arguments"))
 
 
 def job_arguments(bucket: Column, object_key: Column, env: str = DEFAULT_ENV, metrics: bool = True) -> Column:

@@ -56,8 +56,6 @@ def route_longest_prefix(
     key: str = "object_key",
     job: str = "job_name",
     limit: BroadcastLimit = BroadcastLimit(),
-    spread_by: list[str] | None = None,
-    salts: int = 16,
 ) -> DataFrame:
     """Add `job`: that of the longest route prefix the key starts with, or NULL.
 
@@ -65,10 +63,10 @@ def route_longest_prefix(
     route to an empty job claims the key without giving it a job. A route table within `limit` is
     broadcast and `df` is not shuffled. A larger one is joined on the keys' own prefixes.
     """
-    usable = routes.filter(F.col("prefix") != "").select("prefix", F.col("job").alias("_job"))
+    usable = routes.filter(F.col("prefix") != "").select("prefix", F.coalesce("job", F.lit("")).alias("_job"))
     small = limit.local_copy(usable, ["prefix", "_job"])
     if small is None:
-        routed = _route_shuffled(df, usable, key, spread_by or [key], salts)
+        routed = _route_shuffled(df, usable, key)
     else:
         routed = _route_broadcast(df, small, key)
     return routed.withColumn(job, F.nullif(F.col("_job"), F.lit(""))).drop("_job")
@@ -100,7 +98,7 @@ def _route_broadcast(df: DataFrame, routes: DataFrame, key: str) -> DataFrame:
     return df.withColumn("_job", found).drop(*[f"_tier{tier}" for tier in range(len(floors))])
 
 
-def _route_shuffled(df: DataFrame, routes: DataFrame, key: str, spread_by: list[str], salts: int) -> DataFrame:
+def _route_shuffled(df: DataFrame, routes: DataFrame, key: str) -> DataFrame:
     """Equi-join of each distinct key's prefixes with the routes; both joins are salted against hot values."""
     # At most as many values as the longest prefix has characters.
     lengths = sorted(row[0] for row in routes.select(F.length("prefix")).distinct().collect())
@@ -109,11 +107,9 @@ def _route_shuffled(df: DataFrame, routes: DataFrame, key: str, spread_by: list[
     candidates = keys.select("_key", F.explode(fitting).alias("_length")).select(
         "_key", "_length", F.expr("substring(_key, 1, _length)").alias("prefix")
     )
-    matched = salted_join(candidates, routes, ["prefix"], spread=F.col("_key"), salts=salts)
+    matched = salted_join(candidates, routes, ["prefix"], ["_key"])
     best = matched.groupBy("_key").agg(F.max_by("_job", "_length").alias("_job"))
-    spread = F.struct(*[F.col(name) for name in spread_by])
-    large = df.withColumn("_key", F.col(key))
-    return salted_join(large, best, ["_key"], spread=spread, how="left", salts=salts).drop("_key")
+    return salted_join(df.withColumn("_key", F.col(key)), best, ["_key"], how="left").drop("_key")
 
 
 def route_jobs(

@@ -37,7 +37,13 @@ class CustomersJob(LakeJob):
     required_columns = ["customer_id", "first_name", "email"]
 
     def __init__(
-        self, config, spark=None, base_path: str = "", schema: T.StructType | None = None, scheme: str = "s3", **rest
+        self,
+        config,
+        spark=None,
+        base_path: str = "",
+        schema: T.StructType | str | None = None,
+        scheme: str = "s3",
+        **rest,
     ) -> None:
         super().__init__(config, spark, **rest)
         self.base_path = base_path

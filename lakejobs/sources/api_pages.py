@@ -30,7 +30,11 @@ def page_length(response: Column) -> Column:
 
 
 def last_pages(
-    pages: DataFrame, page_size: int = PAGE_SIZE, page: str = "page", response: str = "response", run: tuple[str, ...] = ()
+    pages: DataFrame,
+    page_size: int = PAGE_SIZE,
+    page: str = "page",
+    response: str = "response",
+    run: tuple[str, ...] = (),
 ) -> DataFrame:
     """The last page a client asks for, per run: the first short one, or the one before a gap.
 
@@ -68,18 +72,17 @@ def assemble_pages(
     page: str = "page",
     response: str = "response",
     run: tuple[str, ...] = (),
-    salts: int = 16,
 ) -> DataFrame:
     """The pages a client that asks for 1, 2, 3, ... would have fetched.
 
     It stops after the first page shorter than `page_size`, whose rows count, and at the first page
-    that is missing. With `run` columns each run is assembled on its own; a run may be huge, so its
-    pages are spread over `salts` join keys.
+    that is missing. With `run` columns each run is assembled on its own; the pages of huge runs are
+    spread over many tasks.
     """
     last = last_pages(pages, page_size, page, response, run)
     if not run:
         return pages.filter((F.col(page) >= 1) & (F.col(page) <= last.scalar()))
-    joined = salted_join(pages, last, list(run), spread=F.col(page), salts=salts)
+    joined = salted_join(pages, last, list(run), [page])
     return joined.filter((F.col(page) >= 1) & (F.col(page) <= F.col("last_page"))).select(*pages.columns)
 
 

@@ -146,6 +146,8 @@ def write_customers(path, rows=GOOD, sep=",", header="customer_id,first_name,las
     path.write_text("\n".join(lines) + "\n")
 
 
+SCHEMA_AS_TEXT = "customer_id bigint, first_name string, last_name string, email string, phone string"
+
 FIXTURE = [
     (1, "John", "Doe", "john.doe@example.com", "555-123-4567"),
     (2, "Jane", "Smith", "JANE@EXAMPLE.COM", None),
@@ -217,6 +219,13 @@ def test_customer_job_prefers_tab_separated_files_and_reads_single_files(spark,
     assert CustomersJob(config, spark, scheme="file").extract().count() == 3
 
 
+def test_customer_job_with_a_schema_infers_nothing(spark, tmp_path):
+    write_customers(tmp_path / "a.csv", FIXTURE)
+    job = job_of(CustomersJob, spark, tmp_path, base_path=str(tmp_path), schema=SCHEMA_AS_TEXT)
+    assert job.extract().dtypes[0] == ("customer_id", "bigint")
+    assert job.run() is True and spark.table("dev_customers_silver").count() == 10
+
+
 def test_customer_job_in_the_local_environment(spark, tmp_path, capsys):
     write_customers(tmp_path / "customers.csv", FIXTURE)
     job = job_of(CustomersJob, spark, tmp_path, env="local", base_path=str(tmp_path))

@@ -58,7 +58,7 @@ def test_longest_prefix_against_brute_force(spark, monkeypatch, limit, one_tier)
     routes["\u00e9"] = "accent"
     df = spark.createDataFrame(list(enumerate(keys)), "i int, object_key string").repartition(4)
     table = spark.createDataFrame(list(routes.items()), "prefix string, job string")
-    got = route_longest_prefix(df, table, limit=limit, spread_by=["i"])
+    got = route_longest_prefix(df, table, limit=limit)
     assert got.columns == ["i", "object_key", "job_name"]
     assert {r["i"]: r["job_name"] for r in got.collect()} == {i: longest(k, routes) for i, k in enumerate(keys)}
     assert got.count() == len(keys)
@@ -81,10 +81,27 @@ def test_limit_measures_rows_and_text(spark):
     assert BroadcastLimit().local_copy(df.limit(0), ["t"]).count() == 0
 
 
-def test_salted_join_keeps_every_pair(spark):
-    large = spark.range(1000).select("id", F.when(F.col("id") < 700, 0).otherwise(F.col("id") % 7).alias("k"))
-    small = spark.createDataFrame([(0, "a"), (0, "b"), (3, "c"), (99, "d")], "k int, v string")
+@pytest.mark.parametrize("hottest, salts", [(200, None), (1, 5), (200, 3)])
+def test_salted_join_keeps_every_pair(spark, hottest, salts):
+    key = F.when(F.col("id") < 700, 0).when(F.col("id") < 800, None).otherwise(F.col("id") % 7)
+    large = spark.range(1000).select("id", key.alias("k"), F.create_map(F.lit("a"), "id").alias("m"))
+    small = spark.createDataFrame([(0, "a"), (0, "b"), (3, "c"), (99, "d"), (None, "e")], "k int, v string")
     for how in ("inner", "left"):
         want = large.join(small, "k", how).select("id", "k", "v")
-        got = salted_join(large, small, ["k"], F.col("id"), how).select("id", "k", "v")
+        got = salted_join(large, small, ["k"], how=how, hottest=hottest, salts=salts).select("id", "k", "v")
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_hot_and_missing_keys_are_spread(spark):
+    key = F.when(F.col("id") < 5000, 0).when(F.col("id") < 8000, None).otherwise(F.col("id"))
+    large = spark.range(9000).select("id", key.alias("k"))
+    small = spark.range(9000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(large, small, ["k"], how="left").withColumn("p", F.spark_partition_id())
+        sizes = [r["count"] for r in joined.groupBy("p").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 9000 and max(sizes) < 3000

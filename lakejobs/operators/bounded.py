@@ -48,27 +48,31 @@ def salted_join(
     spread: list[str] | None = None,
     how: str = "inner",
     hottest: int = 200,
-    salts: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Equi-join (inner or left) that cuts the most frequent keys of `large` into `salts` parts.
+    """Equi-join (inner or left) that cuts the most frequent keys of `large` into parts.
 
     The `hottest` keys are found by a count, so any key with a larger share than one in `hottest` is
-    among them. Their rows in `small` are repeated once per part, and every row still meets all its
-    partners; rows of other keys are neither cut nor repeated. Rows with a NULL key, which have no
-    partner, are spread too. Parts are told by a hash of the `spread` columns (by default all that can
-    be hashed), as a part must not change when a task is repeated. There are as many parts as shuffle
-    partitions unless told otherwise.
+    among them. A key gets as many parts as its rows would fill of `partitions` (by default the shuffle
+    partitions) and its partners in `small` are repeated once per part. Every row still meets all its
+    partners, and all keys together get no more than `partitions + hottest` parts. Rows with a NULL
+    key, which have no partner, are spread too. Parts are told by a hash of the `spread` columns (by
+    default all that can be hashed), as a part must not change when a task is repeated.
     """
     spark = large.sparkSession
-    salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = spread or [field.name for field in large.schema if _hashable(field.dataType)]
+
     counts = large.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    top = counts.orderBy(F.desc("_rows")).limit(hottest).select(*on)
-    hot = F.broadcast(spark.createDataFrame(top.toArrow(), top.schema).withColumn("_hot", F.lit(True)))
+    total = counts.agg(F.sum("_rows")).scalar()
+    parts = F.ceil(F.col("_rows") * partitions / total).alias("_parts")
+    top = counts.orderBy(F.desc("_rows")).limit(hottest).select(*on, parts)
+    hot = F.broadcast(spark.createDataFrame(top.toArrow(), top.schema))
 
     no_key = reduce(or_, [F.col(name).isNull() for name in on])
-    part = F.pmod(F.xxhash64(*[F.col(name) for name in spread]), F.lit(salts)).cast("int")
-    salted = large.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot") | no_key, part).otherwise(0))
-    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = small.join(hot, on, "left").withColumn("_salt", F.explode(parts))
-    return salted.drop("_hot").join(repeated.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+    parts = F.when(no_key, F.lit(partitions)).otherwise(F.coalesce("_parts", F.lit(1)))
+    part = F.pmod(F.xxhash64(*[F.col(name) for name in spread]), parts)
+    salted = large.join(hot, on, "left").withColumn("_salt", part).drop("_parts")
+    all_parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
+    repeated = small.join(hot, on, "left").withColumn("_salt", F.explode(all_parts)).drop("_parts")
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

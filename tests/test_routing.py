@@ -81,17 +81,24 @@ def test_limit_measures_rows_and_text(spark):
     assert BroadcastLimit().local_copy(df.limit(0), ["t"]).count() == 0
 
 
-@pytest.mark.parametrize("hottest, salts", [(200, None), (1, 5), (200, 3)])
-def test_salted_join_keeps_every_pair(spark, hottest, salts):
+@pytest.mark.parametrize("hottest, partitions", [(200, None), (1, 5), (200, 3), (3, 1000)])
+def test_salted_join_keeps_every_pair(spark, hottest, partitions):
     key = F.when(F.col("id") < 700, 0).when(F.col("id") < 800, None).otherwise(F.col("id") % 7)
     large = spark.range(1000).select("id", key.alias("k"), F.create_map(F.lit("a"), "id").alias("m"))
     small = spark.createDataFrame([(0, "a"), (0, "b"), (3, "c"), (99, "d"), (None, "e")], "k int, v string")
     for how in ("inner", "left"):
         want = large.join(small, "k", how).select("id", "k", "v")
-        got = salted_join(large, small, ["k"], how=how, hottest=hottest, salts=salts).select("id", "k", "v")
+        got = salted_join(large, small, ["k"], how=how, hottest=hottest, partitions=partitions).select("id", "k", "v")
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_salted_join_of_nothing(spark):
+    none = spark.createDataFrame([], "id int, k int")
+    small = spark.createDataFrame([(0, "a")], "k int, v string")
+    assert salted_join(none, small, ["k"]).count() == 0
+    assert salted_join(small, none, ["k"], how="left").collect()[0]["id"] is None
+
+
 def test_hot_and_missing_keys_are_spread(spark):
     key = F.when(F.col("id") < 5000, 0).when(F.col("id") < 8000, None).otherwise(F.col("id"))
     large = spark.range(9000).select("id", key.alias("k"))

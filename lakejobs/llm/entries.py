@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakejobs.llm.decontamination import find_passages
+from lakejobs.llm.minhash_dedup import MinMaxParams, near_duplicates
+from lakejobs.llm.packing import pack
 from lakejobs.llm.secret_scan import scan_secrets
 from lakejobs.llm.shared import table
 
@@ -16,7 +19,45 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents")).drop("secrets")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("hits", "items")
+
+
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), MinMaxParams(width=4))
+
+
+# Both engines split by the same expression; DuckDB's `\\x00` needs no class of its own as texts hold none.
+_WORDS = r"""list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"""
+
+ORACLES: dict[str, str] = {
+    "op8_decontamination": f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, w, least(10, len(w)) AS n
+      FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0 AND item_id IS NOT NULL),
+grams AS (SELECT DISTINCT item, n, w[i:i + n - 1] AS gram
+          FROM (SELECT item, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
+places AS (SELECT r, n, i, w[i:i + n - 1] AS gram FROM (
+    SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+    FROM d, (SELECT DISTINCT n FROM grams) WHERE len(w) >= n)),
+hits AS (SELECT r, n, i, item FROM places JOIN grams USING (n, gram)),
+words AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM hits) GROUP BY r),
+items AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names
+          FROM hits GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+}
 QUERIES: dict[str, Query] = {
     "op2_secret_scan": op2_secret_scan,
+    "op7_packing": op7_packing,
+    "op8_decontamination": op8_decontamination,
+    "op9_minhash_dedup": op9_minhash_dedup,
 }
-ORACLES: dict[str, str] = {}

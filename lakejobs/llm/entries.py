@@ -5,20 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakejobs.llm.decontamination import find_passages
+from lakejobs.llm.embedding_dedup import near_vectors
+from lakejobs.llm.html_extraction import extract_text
+from lakejobs.llm.license_scan import scan_licenses
+from lakejobs.llm.line_dedup import line_decisions
 from lakejobs.llm.minhash_dedup import MinMaxParams, near_duplicates
+from lakejobs.llm.ngram_lm import score_texts, train_lm
 from lakejobs.llm.packing import pack
+from lakejobs.llm.quality_classifier import score_quality, train_quality
 from lakejobs.llm.secret_scan import scan_secrets
 from lakejobs.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents")).drop("secrets")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_texts(docs, train_lm(docs)).drop("perplexity")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -32,6 +61,12 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), MinMaxParams(width=4))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_decisions(table(spark, sf_dir, "documents"))
+    dropped = F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped")
+    return found.select("doc_id", "n_lines", "n_long", "n_dropped", dropped)
+
+
 # Both engines split by the same expression; DuckDB's `\\x00` needs no class of its own as texts hold none.
 _WORDS = r"""list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -56,8 +91,17 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
 }
 QUERIES: dict[str, Query] = {
-    "op2_secret_scan": op2_secret_scan,
-    "op7_packing": op7_packing,
-    "op8_decontamination": op8_decontamination,
-    "op9_minhash_dedup": op9_minhash_dedup,
+    function.__name__: function
+    for function in (
+        op1_html_extraction,
+        op2_secret_scan,
+        op3_license_scan,
+        op4_quality_classifier,
+        op5_embedding_dedup,
+        op6_lm_scoring,
+        op7_packing,
+        op8_decontamination,
+        op9_minhash_dedup,
+        op10_line_dedup,
+    )
 }

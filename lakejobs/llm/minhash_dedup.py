@@ -34,7 +34,9 @@ class MinMaxParams:
     """Shingle width, the least similarity in percent, and the signature's shape.
 
     With 25 bands of 5 values, a pair at 80 % shares a bucket with probability 0.99995, one at 90 % with
-    more than 1 - 1e-9. `block` nodes of a bucket are compared at once where all pairs are needed.
+    more than 1 - 1e-9. `block` nodes of a bucket are compared at once where all pairs are needed. Ids of
+    documents whose sets are needed are broadcast up to `broadcast_ids`, counted first; beyond, texts are
+    shuffled to meet them.
     """
 
     width: int = 5
@@ -42,6 +44,7 @@ class MinMaxParams:
     bands: int = 25
     rows: int = 5
     block: int = 128
+    broadcast_ids: int = 1_000_000
     seed: int = 7
 
 
@@ -171,11 +174,8 @@ def _compare_block(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _rest(members: DataFrame, links: DataFrame, sets, params: MinMaxParams) -> DataFrame | None:
-    """Further links, from buckets that two leaders did not settle; None if there is no such bucket.
-
-    `sets` makes the shingle sets of the nodes in a DataFrame.
-    """
+def _rest(members: DataFrame, links: DataFrame, sets: DataFrame, params: MinMaxParams) -> DataFrame | None:
+    """Further links, from buckets that two leaders did not settle; None if there is no such bucket."""
     found = connected_components(links)
     placed = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     open_keys = (
@@ -210,7 +210,7 @@ def _rest(members: DataFrame, links: DataFrame, sets, params: MinMaxParams) -> D
         )
         .withColumn("one_block", F.col("low") == F.col("high"))
     )
-    filled = paired.join(sets(waiting.select("node").distinct()), "node")
+    filled = paired.join(sets, "node")
     percent = params.percent
     return filled.groupBy("key", "low", "high").applyInPandas(lambda x: _compare_block(x, percent), "a long, b long")
 
@@ -249,13 +249,12 @@ def near_duplicates(docs: DataFrame, params: MinMaxParams | None = None) -> Data
         pairs = led.filter(fits).select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
         pairs = stage(pairs.distinct(), "minhash-pairs")
 
-        # Only texts of documents that were paired are read into sets again.
-        def sets(of: DataFrame) -> DataFrame:
-            return _sets(docs.join(of.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"), params)
-
-        named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        own = stage(sets(named), "minhash-sets")
-        links = stage(_confirmed(pairs, own, params.percent), "minhash-links")
+        # Texts are read into sets again for documents that share a bucket, once for all that follows.
+        named = stage(members.select(F.col("node").alias("doc_id")).distinct(), "minhash-named")
+        few = named.limit(params.broadcast_ids + 1).count() <= params.broadcast_ids
+        named = F.broadcast(named) if few else named
+        sets = stage(_sets(docs.join(named, "doc_id", "left_semi"), params), "minhash-sets")
+        links = stage(_confirmed(pairs, sets, params.percent), "minhash-links")
         more = _rest(members.select("key", "node"), links, sets, params)
         components = connected_components(links if more is None else stage(links.union(more), "minhash-links"))
         classes = nodes.select("digest", "node").join(components, "node", "left")

@@ -7,7 +7,7 @@ import importlib
 import logging
 import sys
 
-from lakejobs.config import DATE_FILTERS, ExportRequest, JobConfig
+from lakejobs.config import BATCH_SIZE, DATE_FILTERS, ExportRequest, JobConfig
 from lakejobs.plans.customers import CustomersJob
 from lakejobs.plans.export import export_table
 from lakejobs.plans.products import ProductsJob
@@ -36,19 +36,34 @@ def _products(argv: list[str]) -> bool:
 
 def _export(argv: list[str]) -> bool:
     parser = argparse.ArgumentParser(prog="lakejobs export", allow_abbrev=False)
-    parser.add_argument("--table", required=True)
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--table")
+    source.add_argument("--object_key", help="key of a file that has landed; names the table, and today's rows go")
+    parser.add_argument("--env", default="dev", help="environment of the table that --object_key names")
+    parser.add_argument("--on_demand", action="store_true", help="yesterday's rows, up to --limit if there is one")
     parser.add_argument("--order_by", required=True, help="columns, comma-separated, the last one unique")
     parser.add_argument("--send", required=True, help="module:function that takes one payload text")
     parser.add_argument("--date_filter", choices=DATE_FILTERS, default="yesterday")
     parser.add_argument("--where")
     parser.add_argument("--as_of")
+    parser.add_argument("--limit", type=int, help="deliver the first rows only")
+    parser.add_argument("--max_records", type=int, help="a second limit; the smaller one counts")
+    parser.add_argument("--batch_size", type=int, default=BATCH_SIZE)
+    parser.add_argument("--columns", help="columns to deliver, comma-separated")
     options = parser.parse_args(argv)
     module, _, function = options.send.partition(":")
     send = getattr(importlib.import_module(module), function)
-    request = ExportRequest.scheduled(options.table, options.date_filter, options.where, as_of=options.as_of)
+    rest = {name: getattr(options, name) for name in ("where", "as_of", "limit", "max_records", "batch_size")}
+    if options.object_key:
+        request = ExportRequest.object_event(options.object_key, options.env, **rest)
+    elif options.on_demand:
+        request = ExportRequest.on_demand(options.table, **rest)
+    else:
+        request = ExportRequest.scheduled(options.table, options.date_filter, **rest)
+    columns = options.columns.split(",") if options.columns else None
     spark, owned = session("export")
     try:
-        result = export_table(spark, request, send, options.order_by.split(","))
+        result = export_table(spark, request, send, options.order_by.split(","), columns)
         print(result)
         return True
     finally:

@@ -6,14 +6,12 @@ import argparse
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timezone
 
-# The environments, levels, limits and defaults users of the jobs rely on.
+# The environments, levels and defaults users of the jobs rely on.
 ENVIRONMENTS = ("local", "dev", "staging", "prod")
 LOG_LEVELS = ("DEBUG", "INFO", "WARNING", "ERROR")
 DATE_FILTERS = ("today", "yesterday", "last_week")
 DEFAULT_TABLE = "dev_customers_silver"
 BATCH_SIZE = 100
-MAX_RECORDS = 10_000
-ON_DEMAND_LIMIT = 100
 
 
 def _local_run_id() -> str:
@@ -69,13 +67,16 @@ class JobConfig:
 
 @dataclass(frozen=True)
 class ExportRequest:
-    """Which rows of which table to deliver, in what batches."""
+    """Which rows of which table to deliver, in what batches.
+
+    All selected rows are delivered unless the caller sets a `limit` or `max_records`; the smaller one counts.
+    """
 
     table: str
     date_filter: str | None = "yesterday"
     where: str | None = None
     limit: int | None = None
-    max_records: int = MAX_RECORDS
+    max_records: int | None = None
     batch_size: int = BATCH_SIZE
     as_of: date | str | None = None
 
@@ -83,23 +84,21 @@ class ExportRequest:
     def scheduled(
         cls, table: str = DEFAULT_TABLE, date_filter: str = "yesterday", where: str | None = None, **rest
     ) -> ExportRequest:
-        """The nightly export: everything of one date filter, up to the record cap."""
+        """The nightly export: everything of one date filter."""
         if date_filter not in DATE_FILTERS:
             raise ValueError(f"date_filter must be one of {DATE_FILTERS}, not {date_filter!r}")
-        request = cls(table, date_filter, where, **rest)
-        return replace(request, limit=request.max_records)
+        return cls(table, date_filter, where, **rest)
 
     @classmethod
     def object_event(cls, object_key: str, env: str = "dev", **rest) -> ExportRequest:
         """A file has landed: export today's rows of the table its key names."""
         from lakejobs.sinks.tables import table_for_key
 
-        request = cls(table_for_key(object_key, env), "today", **rest)
-        return replace(request, limit=request.max_records)
+        return cls(table_for_key(object_key, env), "today", **rest)
 
     @classmethod
     def on_demand(
-        cls, table: str = DEFAULT_TABLE, limit: int = ON_DEMAND_LIMIT, where: str | None = None, **rest
+        cls, table: str = DEFAULT_TABLE, limit: int | None = None, where: str | None = None, **rest
     ) -> ExportRequest:
         """A caller asks for rows; the date filter stays at yesterday."""
         return cls(table, where=where, limit=limit, **rest)

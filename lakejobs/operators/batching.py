@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lakejobs.config import BATCH_SIZE
@@ -13,12 +14,55 @@ from lakejobs.functions.json_cells import record_json
 from lakejobs.schemas import STATUS
 from lakejobs.session import stage
 
-# A row limit up to this is sorted and numbered in one task.
-ONE_TASK_ROWS = 100_000
 # monotonically_increasing_id() holds the partition above these bits and the row's place below them.
 _PLACE_BITS = 33
 
 
+def _ranked(df: DataFrame, column: str) -> Column | None:
+    """A number that grows with the column, if not strictly; None for types without one."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        # The first seven bytes, as text is ordered by its bytes.
+        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("bigint")
+    if isinstance(kind, T.NumericType):
+        return F.col(column).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.col(column).cast("timestamp").cast("double")
+    return None
+
+
+def first_rows_cut(df: DataFrame, column: str, limit: int) -> DataFrame:
+    """A subset of `df` that holds its first `limit` rows in the order of `column`, found from that column alone.
+
+    A quantile of the column gives a bound, and a count confirms that enough rows lie below it. The bound
+    is a plain filter, so it reaches the scan. Bounds are narrowed until few rows are left besides the
+    wanted ones, or until those left share one value.
+    """
+    ranked = _ranked(df, column)
+    if ranked is None:
+        return df
+    bare, values = F.col(column), df.select(column)
+    counts = values.agg(F.count(F.lit(1)).alias("all"), F.count(bare).alias("filled")).first()
+    # Nulls come first in Spark's order.
+    wanted, rows = limit - (counts["all"] - counts["filled"]), counts["filled"]
+    if wanted <= 0:
+        return df.filter(bare.isNull())
+    kept, filled = F.lit(True), values.filter(bare.isNotNull())
+    while rows > 2 * wanted:
+        share = min(1.0, 1.5 * wanted / rows + 2e-4)
+        bound = filled.agg(F.percentile_approx(ranked, share, 10_000)).scalar()
+        nearest = filled.filter(ranked <= F.lit(bound)).agg(F.max(column)).first()[0]
+        fewer = filled.filter(bare <= F.lit(nearest))
+        left = fewer.count()
+        if left < wanted or left >= rows:
+            break
+        kept, filled, rows = bare.isNull() | (bare <= F.lit(nearest)), fewer, left
+    return df.filter(kept)
+
+
 def number_rows(
     df: DataFrame,
     order_by: list[str],
@@ -29,24 +73,14 @@ def number_rows(
 ) -> DataFrame:
     """Add the row's number from 1 in the given order, and the number of all rows.
 
-    `order_by` should end in a unique column. With a `limit` only the first rows come out. A small
-    limit is taken as a top-k and numbered in one window. Otherwise the rows are range-partitioned
-    and sorted, written once to the shared folder, and numbered from the sizes of the partitions
-    before their own: one shuffle, and no task sees more than its range. Equal leading sort values
-    do not pile up, as the ranges split on all columns.
+    `order_by` should end in a unique column. The rows are range-partitioned and sorted, written once to
+    the shared folder, and numbered from the sizes of the partitions before their own: one shuffle, and no
+    task sees more than its range. Equal leading sort values do not pile up, as the ranges split on all
+    columns. With a `limit` only the first rows come out; what cannot be among them is cut off by a filter
+    on the leading column before anything is shuffled.
     """
-    if limit is not None and limit <= ONE_TASK_ROWS:
-        whole = Window.partitionBy()
-        return (
-            df.orderBy(*order_by)
-            .limit(limit)
-            .withColumns(
-                {
-                    rn: F.row_number().over(Window.orderBy(*order_by)).cast("bigint"),
-                    total: F.count(F.lit(1)).over(whole),
-                }
-            )
-        )
+    if limit is not None:
+        df = first_rows_cut(df, order_by[0], limit)
     split = [partitions, *order_by] if partitions else order_by
     ranges = df.repartitionByRange(*split).sortWithinPartitions(*order_by)
     placed = stage(ranges.withColumn("_place", F.monotonically_increasing_id()), "numbered")

@@ -6,10 +6,12 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakejobs.session import stage
+
 
 @dataclass(frozen=True)
 class BroadcastLimit:
@@ -33,46 +35,49 @@ class BroadcastLimit:
         return df.sparkSession.createDataFrame(rows.drop_columns(["_fits"]), df.schema)
 
 
-def _hashable(kind: T.DataType) -> bool:
-    if isinstance(kind, (T.MapType, T.VariantType)):
-        return False
-    if isinstance(kind, T.ArrayType):
-        return _hashable(kind.elementType)
-    return not isinstance(kind, T.StructType) or all(_hashable(field.dataType) for field in kind)
+def _join_key(df: DataFrame, on: list[str]) -> Column:
+    """A hash of the key columns, the same for whole numbers of any width."""
+    whole = [isinstance(df.schema[name].dataType, T.IntegralType) for name in on]
+    return F.xxhash64(*(F.col(x).cast("bigint") if is_whole else F.col(x) for x, is_whole in zip(on, whole)))
 
 
 def salted_join(
     large: DataFrame,
     small: DataFrame,
     on: list[str],
-    spread: list[str] | None = None,
     how: str = "inner",
-    hottest: int = 200,
     partitions: int | None = None,
+    staged: bool = False,
 ) -> DataFrame:
-    """Equi-join (inner or left) that cuts the most frequent keys of `large` into parts.
-
-    The `hottest` keys are found by a count, so any key with a larger share than one in `hottest` is
-    among them. A key gets as many parts as its rows would fill of `partitions` (by default the shuffle
-    partitions) and its partners in `small` are repeated once per part. Every row still meets all its
-    partners, and all keys together get no more than `partitions + hottest` parts. Rows with a NULL
-    key, which have no partner, are spread too. Parts are told by a hash of the `spread` columns (by
-    default all that can be hashed), as a part must not change when a task is repeated.
+    """Equi-join (inner or left) that cuts every key of `large` with more than a partition's share of rows into parts.
+
+    `large` is written to the shared folder first, unless the caller says that it is read from there
+    (`staged`): keys are counted on the copy, and a row's part comes from its place in it, so that equal
+    rows spread too and a repeated task deals them alike. No more keys than partitions can hold more than
+    a fair share each. They are told by hashes, so what is broadcast does not depend on their text. Partners
+    in `small` are repeated once per part, in all no more often than twice the partitions. Rows with a
+    null key, which have no partner, are spread as well. The result is that of the plain join.
     """
     spark = large.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = spread or [field.name for field in large.schema if _hashable(field.dataType)]
+    large = large if staged else stage(large, "salted")
 
-    counts = large.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    parts = F.ceil(F.col("_rows") * partitions / total).alias("_parts")
-    top = counts.orderBy(F.desc("_rows")).limit(hottest).select(*on, parts)
-    hot = F.broadcast(spark.createDataFrame(top.toArrow(), top.schema))
+    key, small_key = _join_key(large, on), _join_key(small, on)
+    if [large.schema[x].dataType for x in on] != [small.schema[x].dataType for x in on] and not all(
+        isinstance(df.schema[x].dataType, T.IntegralType) for df in (large, small) for x in on
+    ):
+        raise TypeError(f"keys {on} differ in type")
+    counts = large.groupBy(key.alias("_salt_key")).agg(F.count(F.lit(1)).alias("_salt_rows"))
+    total = counts.agg(F.sum("_salt_rows")).scalar()
+    parts = F.ceil(F.col("_salt_rows") * partitions / F.lit(total)).cast("bigint").alias("_salt_parts")
+    fair = F.col("_salt_rows") * partitions > F.lit(total)
+    hottest = counts.filter(fair).select("_salt_key", parts).toArrow()
+    hot = F.broadcast(spark.createDataFrame(hottest, "_salt_key bigint, _salt_parts bigint"))
 
     no_key = reduce(or_, [F.col(name).isNull() for name in on])
-    parts = F.when(no_key, F.lit(partitions)).otherwise(F.coalesce("_parts", F.lit(1)))
-    part = F.pmod(F.xxhash64(*[F.col(name) for name in spread]), parts)
-    salted = large.join(hot, on, "left").withColumn("_salt", part).drop("_parts")
-    all_parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
-    repeated = small.join(hot, on, "left").withColumn("_salt", F.explode(all_parts)).drop("_parts")
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    parts = F.when(no_key, F.lit(partitions)).otherwise(F.coalesce("_salt_parts", F.lit(1)))
+    placed = large.withColumn("_salt_place", F.monotonically_increasing_id()).withColumn("_salt_key", key)
+    salted = placed.join(hot, "_salt_key", "left").withColumn("_salt", F.pmod("_salt_place", parts)).drop("_salt_parts", "_salt_place", "_salt_key")
+    all_parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salt_parts", F.lit(1)) - 1)
+    repeated = small.withColumn("_salt_key", small_key).join(hot, "_salt_key", "left").withColumn("_salt", F.explode(all_parts))
+    return salted.join(repeated.drop("_salt_parts", "_salt_key"), [*on, "_salt"], how).drop("_salt")

@@ -16,11 +16,12 @@ type (a record that is no object, a null `detail`) yields nothing as a whole.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakejobs.operators.bounded import BroadcastLimit, salted_join
 from lakejobs.operators.routing import DEFAULT_ENV, route_jobs
+from lakejobs.session import stage
 
 # Names, sources and texts of the notification format and of the dispatch results.
 QUEUE_SOURCE = "aws:sns"
@@ -49,9 +50,16 @@ _CAPITALS = "struct<Bucket:variant,Key:variant>"
 _BUS_EVENT = (
     "struct<source:string,`detail-type`:string,detail:struct<bucket:struct<name:string>,object:struct<key:string>>>"
 )
+_REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 _RECORDS = "array<struct<eventSource:string,eventName:variant,s3:variant>>"
 
 
+def allow_repeated_keys(spark: SparkSession) -> None:
+    """JSON text may repeat a key, and its last value counts; Spark refuses it unless the session allows it."""
+    if spark.conf.get(_REPEATED_KEYS, "false") != "true":
+        spark.conf.set(_REPEATED_KEYS, "true")
+
+
 def _at(value: Column, path: str = "$", kind: str = "string") -> Column:
     return F.try_variant_get(value, path, kind)
 
@@ -146,9 +154,10 @@ def _detail_decides(detail: Column) -> Column:
 def read_messages(messages: DataFrame, message: str = "message", keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows `(*keys, events, is_readable)`: every message with its array of events, empty when it has none.
 
-    `is_readable` is false for text that is not JSON. The steps are separate projections, so that each
-    value is taken out once and used often.
+    `is_readable` is false for text that is not JSON. Of a repeated key the last value counts. The steps
+    are separate projections, so that each value is taken out once and used often.
     """
+    allow_repeated_keys(messages.sparkSession)
     parsed = messages.select(*keys, F.try_parse_json(F.col(message)).alias("_message"))
     taken = parsed.select(
         *keys,
@@ -171,17 +180,26 @@ def read_messages(messages: DataFrame, message: str = "message", keys: tuple[str
 def unwrap_envelopes(envelopes: DataFrame, envelope: str = "envelope", keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows `(*keys, record_no, message)` for the queue records of each envelope.
 
-    A record without message text comes out with a NULL message, which counts as an error later on.
+    A record without message text comes out with a NULL message, which counts as an error later on. So
+    does an envelope that is not JSON or whose `Records` is no list: it gives one row with neither number
+    nor message. Records of other sources, and envelopes without any record, give none.
     """
+    allow_repeated_keys(envelopes.sparkSession)
     parsed = envelopes.select(*keys, F.try_parse_json(F.col(envelope)).alias("_envelope"))
-    records = parsed.select(
+    listed = parsed.select(
+        *keys,
+        F.try_variant_get("_envelope", "$.Records", "array<variant>").alias("_records"),
+        _is_true(_is_object(F.col("_envelope")) & _at(F.col("_envelope"), "$.Records", "variant").isNull()).alias("_none"),
+    )
+    records = listed.select(
         *keys,
-        F.posexplode(F.try_variant_get("_envelope", "$.Records", "array<variant>")).alias("_position", "_record"),
+        (F.col("_records").isNull() & ~F.col("_none")).alias("_unreadable"),
+        F.posexplode_outer("_records").alias("_position", "_record"),
     )
     record = F.col("_record")
     sent = _at(record, "$.Sns.Message", "variant")
     text = F.when(F.schema_of_variant(sent) == "STRING", _at(sent))
-    return records.filter(_at(record, "$.EventSource") == QUEUE_SOURCE).select(
+    return records.filter(F.col("_unreadable") | (_at(record, "$.EventSource") == QUEUE_SOURCE)).select(
         *keys, (F.col("_position") + 1).cast("int").alias("record_no"), text.alias("message")
     )
 
@@ -219,9 +237,12 @@ def rule_targets(
 ) -> DataFrame:
     """Rows `(*keys, rule, bucket, object_key, arguments)`: every rule that an event-bus message fits.
 
-    `rules` has `rule`, `bucket`, `prefix` and `suffix` (empty for "any"). The join is on the bucket;
-    one bucket may hold most of the events, so rules beyond the broadcast limit are joined salted.
+    `rules` has `rule`, `bucket`, `prefix` and `suffix` (empty for "any"). Each key's beginnings, at the
+    lengths that the rules' prefixes have, are looked up together with the bucket, so the work does not
+    grow with the number of rules of a bucket; the suffix is compared last. Rules beyond the broadcast
+    limit are joined salted.
     """
+    allow_repeated_keys(messages.sparkSession)
     parsed = messages.select(*keys, F.try_parse_json(F.col(message)).alias("_message"))
     taken = parsed.select(*keys, _at(F.col("_message"), "$", _BUS_EVENT).alias("_bus"))
     bus = F.col("_bus")
@@ -232,11 +253,19 @@ def rule_targets(
     created = taken.select(*keys, F.inline(F.when(is_created, F.array(place))))
     wanted = rules.select("rule", "bucket", "prefix", "suffix")
     small = limit.local_copy(wanted, wanted.columns)
+    if small is None:
+        created = stage(created, "created")
+    # At most as many values as the longest prefix has characters.
+    lengths = (small if small is not None else wanted).select(F.length("prefix").alias("n")).filter("n IS NOT NULL")
+    lengths = sorted(row["n"] for row in lengths.distinct().collect())
+    reached = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("object_key"))
+    begun = created.select("*", F.explode(reached).alias("_length"))
+    begun = begun.select("*", F.expr("substring(object_key, 1, _length)").alias("prefix")).drop("_length")
     if small is not None:
-        joined = created.join(F.broadcast(small), "bucket")
+        joined = begun.join(F.broadcast(small), ["bucket", "prefix"])
     else:
-        joined = salted_join(created, wanted, ["bucket"])
-    fitting = joined.filter(F.expr("startswith(object_key, prefix) AND endswith(object_key, suffix)"))
+        joined = salted_join(begun, wanted, ["bucket", "prefix"])
+    fitting = joined.filter(F.expr("endswith(object_key, suffix)"))
     arguments = job_arguments(F.col("bucket"), F.col("object_key"), env, metrics=False)
     return fitting.select(*keys, "rule", "bucket", "object_key", arguments.alias("arguments"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakejobs.operators.bounded import BroadcastLimit, salted_join
+from lakejobs.session import stage
 
 # The jobs that take keys no custom route claims, by prefix, without the environment.
 DEFAULT_ROUTES = {
@@ -59,14 +60,16 @@ def route_longest_prefix(
 ) -> DataFrame:
     """Add `job`: that of the longest route prefix the key starts with, or NULL.
 
-    `routes` has distinct `prefix` values and their `job`; the empty prefix never matches, and a
-    route to an empty job claims the key without giving it a job. A route table within `limit` is
-    broadcast and `df` is not shuffled. A larger one is joined on the keys' own prefixes.
+    `routes` has `prefix` and `job`. Of several jobs of one prefix the first by text counts; the empty
+    prefix never matches, and a route to an empty job claims the key without giving it a job. A route
+    table within `limit` is broadcast and `df` is not shuffled. A larger one is joined on the keys' own
+    prefixes, and `df` is written to the shared folder before, so that its plan runs once.
     """
-    usable = routes.filter(F.col("prefix") != "").select("prefix", F.coalesce("job", F.lit("")).alias("_job"))
+    named = routes.filter(F.col("prefix") != "").select("prefix", F.coalesce("job", F.lit("")).alias("_job"))
+    usable = named.groupBy("prefix").agg(F.min("_job").alias("_job"))
     small = limit.local_copy(usable, ["prefix", "_job"])
     if small is None:
-        routed = _route_shuffled(df, usable, key)
+        routed = _route_shuffled(stage(df, "routed"), stage(usable, "routes"), key)
     else:
         routed = _route_broadcast(df, small, key)
     return routed.withColumn(job, F.nullif(F.col("_job"), F.lit(""))).drop("_job")
@@ -107,9 +110,9 @@ def _route_shuffled(df: DataFrame, routes: DataFrame, key: str) -> DataFrame:
     candidates = keys.select("_key", F.explode(fitting).alias("_length")).select(
         "_key", "_length", F.expr("substring(_key, 1, _length)").alias("prefix")
     )
-    matched = salted_join(candidates, routes, ["prefix"], ["_key"])
+    matched = salted_join(candidates, routes, ["prefix"])
     best = matched.groupBy("_key").agg(F.max_by("_job", "_length").alias("_job"))
-    return salted_join(df.withColumn("_key", F.col(key)), best, ["_key"], how="left").drop("_key")
+    return salted_join(df.withColumn("_key", F.col(key)), best, ["_key"], how="left", staged=True).drop("_key")
 
 
 def route_jobs(

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakejobs.operators.batching import ONE_TASK_ROWS, number_rows
+from lakejobs.operators.batching import number_rows
 
 
 def on_dates(
@@ -37,19 +37,14 @@ def matching(df: DataFrame, where: str | None) -> DataFrame:
     return df.filter(F.expr(where)) if where else df
 
 
-def row_cap(limit: int | None, max_records: int) -> int:
-    """No limit, or a limit of 0, means the cap alone."""
-    if limit is not None and limit < 0:
-        raise ValueError(f"limit must not be negative: {limit}")
-    return min(limit or max_records, max_records)
+def row_cap(limit: int | None, max_records: int | None = None) -> int | None:
+    """The smaller of both; None when neither is set. A limit of 0 counts as not set."""
+    if (limit or 0) < 0 or (max_records or 0) < 0:
+        raise ValueError(f"limits must not be negative: {limit}, {max_records}")
+    return min((x for x in (limit or None, max_records) if x is not None), default=None)
 
 
-def capped(df: DataFrame, order_by: list[str], limit: int | None, max_records: int) -> DataFrame:
-    """The first rows in the given order; each task keeps only its own first rows.
-
-    A cap too large for one task is cut by row number instead.
-    """
+def capped(df: DataFrame, order_by: list[str], limit: int | None, max_records: int | None = None) -> DataFrame:
+    """The first rows in the given order, or all rows without a cap; see `number_rows`."""
     cap = row_cap(limit, max_records)
-    if cap <= ONE_TASK_ROWS:
-        return df.orderBy(*order_by).limit(cap)
-    return number_rows(df, order_by, cap).select(*df.columns)
+    return df if cap is None else number_rows(df, order_by, cap).select(*df.columns)

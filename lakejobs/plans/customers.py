@@ -10,7 +10,9 @@ from lakejobs.functions.cleaning import clean_email, full_name, standardize_name
 from lakejobs.functions.metadata import add_processing_metadata
 from lakejobs.operators.quality import quality_customers
 from lakejobs.plans.job import LakeJob
-from lakejobs.sources.files import data_path, detect_format, read_files, read_first_found, read_fixture
+from lakejobs.schemas import CUSTOMER
+from lakejobs.session import stage
+from lakejobs.sources.files import data_path, detect_format, read_first_found, read_fixture
 
 
 def clean_customers(df: DataFrame) -> DataFrame:
@@ -28,8 +30,10 @@ def clean_customers(df: DataFrame) -> DataFrame:
 class CustomersJob(LakeJob):
     """Tab-separated files of the base path if there are any, else comma-separated ones, or one given file.
 
-    In the local environment: `customers.dat` or else `customers.csv` in the base path. Give a `schema`
-    for large inputs, as inferring one reads all files.
+    In the local environment: `customers.dat` or else `customers.csv` in the base path. Columns are taken by
+    the files' header and typed as `schemas.CUSTOMER` declares, further ones are kept as text. A `schema` of
+    one's own must agree with the header; with `infer`, types are inferred, which reads all files once more.
+    Files are parsed once, into the shared folder.
     """
 
     entity = "customers"
@@ -43,21 +47,23 @@ class CustomersJob(LakeJob):
         base_path: str = "",
         schema: T.StructType | str | None = None,
         scheme: str = "s3",
+        infer: bool = False,
         **rest,
     ) -> None:
         super().__init__(config, spark, **rest)
         self.base_path = base_path
         self.schema = schema
+        self.declared = None if infer or schema is not None else CUSTOMER
         self.scheme = scheme
 
     def extract(self) -> DataFrame | None:
         if self.config.env == "local":
             return self._fixture()
         if self.config.is_event_triggered:
-            path = data_path(self.config, self.base_path, scheme=self.scheme)
-            return read_files(self.spark, path, detect_format(self.config.object_key), self.schema)
-        candidates = [(data_path(self.config, self.base_path, f"*.{kind}"), kind) for kind in ("dat", "csv")]
-        return read_first_found(self.spark, candidates, self.schema)
+            candidates = [(data_path(self.config, self.base_path, scheme=self.scheme), detect_format(self.config.object_key))]
+        else:
+            candidates = [(data_path(self.config, self.base_path, f"*.{kind}"), kind) for kind in ("dat", "csv")]
+        return stage(read_first_found(self.spark, candidates, self.schema, self.declared), "customers")
 
     def _fixture(self) -> DataFrame:
         try:

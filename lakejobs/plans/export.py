@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakejobs.config import ExportRequest
 from lakejobs.operators.batching import batch_payloads, batch_records, deliver_batches, delivery_summary
@@ -25,15 +26,20 @@ def export_rows(
     order_by: list[str],
     date_column: str = "processed_timestamp",
 ) -> DataFrame:
-    """Deliver the wanted rows up to the cap; the summary as one row, all zero when there are none."""
-    batched = batch_records(
-        wanted_rows(df, request, date_column),
-        order_by,
-        request.batch_size,
-        row_cap(request.limit, request.max_records),
-    )
+    """Deliver the wanted rows, or the first ones up to a cap that the request sets; the summary as one row.
+
+    Besides the counts of the delivery it holds how many rows were selected, how many of them were
+    delivered, and whether a cap left some out. All numbers are zero when there are no rows.
+    """
+    wanted, cap = wanted_rows(df, request, date_column), row_cap(request.limit, request.max_records)
+    batched = batch_records(wanted, order_by, request.batch_size, cap)
     status = deliver_batches(batch_payloads(batched), send)
-    return delivery_summary(status, request.batch_size)
+    delivered = status.agg(F.coalesce(F.sum(F.when(F.col("ok"), F.col("records"))), F.lit(0)).alias("delivered_records"))
+    summary = delivery_summary(status, request.batch_size).join(F.broadcast(delivered))
+    selected = F.col("total_records") if cap is None else F.lit(wanted.count())
+    return summary.withColumn("selected_records", selected).withColumn(
+        "truncated", F.col("selected_records") > F.col("total_records")
+    )
 
 
 def export_table(

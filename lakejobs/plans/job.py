@@ -17,9 +17,10 @@ from lakejobs.sinks.tables import show_preview, table_name, write_table
 class LakeJob:
     """Base of the jobs. Subclasses say where data comes from, what becomes of it and what it must hold.
 
-    A run reads its input twice: once for the quality gate, which needs a few columns, and once for
-    the write. The count of written rows is taken while writing. One run time is fixed per run, so
-    both reads see the same rows. A job given a session leaves it running.
+    What `extract` gives is used three times: for a look whether there is any row, for the quality gate,
+    which needs a few columns, and for the write. The jobs here stage their parsed input, so that these read
+    columns instead of parsing again. The count of written rows is taken while writing. One run time is
+    fixed per run. A job given a session leaves it running.
     """
 
     entity = ""
@@ -91,7 +92,7 @@ class LakeJob:
                 return self._run()
         except Exception as error:
             self.logger.error("job failed: %s", error)
-            self._report(error=f"Job failed: {error}")
+            self._report(error=f"{type(error).__name__}: {error}")
             raise
         finally:
             if self._owns_session:
@@ -104,10 +105,10 @@ class LakeJob:
             return True
         missing = missing_columns(raw, self.required_columns)
         if missing:
-            raise RuntimeError(f"Data validation failed: missing columns {missing}")
+            raise RuntimeError(f"required columns are missing: {missing}")
         result = self.transform(raw)
         if not self.validate(result):
-            raise RuntimeError("Data validation failed")
+            raise RuntimeError("the quality gate turned the rows down")
         rows = self.load(result)
         self._report(records=rows, output_paths=[] if self.config.env == "local" else [self.table])
         return True

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,10 +22,8 @@ def session(app_name: str) -> tuple[SparkSession, bool]:
         return active, False
     created = (
         SparkSession.builder.appName(app_name)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .getOrCreate()
     )
     return created, True
@@ -39,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_dirs:
         _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="lakejobs-")
@@ -48,13 +47,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, purpose: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/lakejobs/{purpose}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/lakejobs/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete all that this application has staged; for the end of its work, when no result is read any more."""
+    _delete(spark, _own_folder(spark))
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back: cuts lineage, survives lost executors.
 
-    Inside `scratch` the copy lives until the end of the block, else until someone clears the folder.
+    Inside `scratch` the copy lives until the end of the block, else until `clear_staged`.
     """
     path = fresh_path(df.sparkSession, purpose)
     kept = _scratch.get()
@@ -74,5 +87,4 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _scratch.reset(outer)
         for path in paths:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            _delete(spark, path)

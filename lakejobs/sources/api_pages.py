@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakejobs.operators.bounded import salted_join
+from lakejobs.operators.bounded import BroadcastLimit, salted_join
 from lakejobs.schemas import PRODUCT, response_schema
+from lakejobs.session import stage
 
 PAGE_SIZE = 100
 
@@ -38,12 +39,14 @@ def last_pages(
 ) -> DataFrame:
     """The last page a client asks for, per run: the first short one, or the one before a gap.
 
-    Everything here moves (run, page) pairs only. A run of any size is reduced map-side, and the
-    gap test joins on run *and* page, so that one large run spreads over all tasks.
+    The pages are read once, into a narrow table of (run, page, elements) in the shared folder. A run of
+    any size is reduced map-side, and the gap test joins on run *and* page, so that one large run spreads
+    over all tasks.
     """
     sized = pages.filter(F.col(page) >= 1).select(
         *run, F.col(page).alias("_page"), page_length(pages[response]).alias("_n")
     )
+    sized = stage(sized, "page-sizes")
     numbers = sized.select(*run, "_page")
     no_successor = numbers.withColumn("_page", F.col("_page") + 1).join(numbers, [*run, "_page"], "left_anti")
     ends = sized.select(
@@ -72,17 +75,20 @@ def assemble_pages(
     page: str = "page",
     response: str = "response",
     run: tuple[str, ...] = (),
+    limit: BroadcastLimit = BroadcastLimit(),
 ) -> DataFrame:
     """The pages a client that asks for 1, 2, 3, ... would have fetched.
 
     It stops after the first page shorter than `page_size`, whose rows count, and at the first page
-    that is missing. With `run` columns each run is assembled on its own; the pages of huge runs are
-    spread over many tasks.
+    that is missing. With `run` columns each run is assembled on its own: the runs' last pages are sent to
+    the pages while there are few runs, else the pages of huge runs are spread over many tasks.
     """
     last = last_pages(pages, page_size, page, response, run)
     if not run:
         return pages.filter((F.col(page) >= 1) & (F.col(page) <= last.scalar()))
-    joined = salted_join(pages, last, list(run), [page])
+    texts = [name for name in run if isinstance(pages.schema[name].dataType, T.StringType)]
+    small = limit.local_copy(last, texts)
+    joined = pages.join(F.broadcast(small), list(run)) if small is not None else salted_join(pages, last, list(run))
     return joined.filter((F.col(page) >= 1) & (F.col(page) <= F.col("last_page"))).select(*pages.columns)
 
 

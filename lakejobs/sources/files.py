@@ -35,7 +35,7 @@ def reader_options(file_format: str) -> tuple[str, dict[str, str]]:
     try:
         return READERS[file_format.lower()]
     except KeyError:
-        raise ValueError(f"Unsupported file format: {file_format}") from None
+        raise ValueError(f"no reader for format {file_format!r}") from None
 
 
 def read_files(
@@ -54,7 +54,8 @@ def read_files(
     source, options = reader_options(file_format)
     reader = spark.read.format(source).options(**options)
     if schema is not None:
-        reader = reader.schema(schema)
+        # A header that differs from the schema is an error: columns are never taken by their place alone.
+        reader = reader.schema(schema).option("enforceSchema", "false")
     elif source == "csv":
         reader = reader.option("inferSchema", "true")
     if sampling_ratio is not None:
@@ -64,6 +65,21 @@ def read_files(
     return reader.load(path)
 
 
+def read_declared(spark: SparkSession, path: str | list[str], file_format: str, declared: T.StructType) -> DataFrame:
+    """Read delimited files by their header, without a pass for inference.
+
+    Columns of the header that are declared get their type, in values that fit it; further ones stay text.
+    All files must have the header of the first one.
+    """
+    source, options = reader_options(file_format)
+    if source != "csv":
+        return read_files(spark, path, file_format)
+    header = spark.read.format(source).options(**options).load(path).columns
+    texts = read_files(spark, path, file_format, T.StructType([T.StructField(name, T.StringType()) for name in header]))
+    types = {field.name: field.dataType for field in declared}
+    return texts.select(*(F.col(f"`{x}`").try_cast(types[x]).alias(x) if x in types else F.col(f"`{x}`") for x in header))
+
+
 def detect_format(object_key: str) -> str:
     """Format of one file by its extension; CSV when the extension says nothing."""
     return EXTENSION_FORMATS.get(object_key.lower().rpartition(".")[2], DEFAULT_FORMAT)
@@ -84,12 +100,17 @@ def data_path(config: JobConfig, base_path: str, pattern: str = "*", scheme: str
 
 
 def read_first_found(
-    spark: SparkSession, candidates: list[tuple[str, str]], schema: T.StructType | str | None = None
+    spark: SparkSession,
+    candidates: list[tuple[str, str]],
+    schema: T.StructType | str | None = None,
+    declared: T.StructType | None = None,
 ) -> DataFrame:
     """Read the first (path, format) that exists; any error but a missing path is raised."""
     missing: AnalysisException | None = None
     for path, file_format in candidates:
         try:
+            if declared is not None:
+                return read_declared(spark, path, file_format, declared)
             return read_files(spark, path, file_format, schema)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
@@ -103,8 +124,8 @@ def read_first_found(
 def read_fixture(spark: SparkSession, config: JobConfig, directory: str, filename: str) -> DataFrame:
     """Read a development file; only the local environment may."""
     if config.env != "local":
-        raise RuntimeError("Test data loading only available in local environment")
+        raise RuntimeError(f"fixtures are for the local environment, not for {config.env}")
     path = os.path.join(directory, filename)
     if not os.path.exists(path):
-        raise FileNotFoundError(f"Test data file not found: {path}")
+        raise FileNotFoundError(f"no fixture at {path}")
     return read_files(spark, path, os.path.splitext(filename)[1][1:])

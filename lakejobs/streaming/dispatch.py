@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from lakejobs.operators.bounded import BroadcastLimit
 from lakejobs.operators.notifications import dispatch_plan
 from lakejobs.operators.routing import DEFAULT_ENV
+from lakejobs.session import scratch
 from lakejobs.streaming.ingest import finish
 
 
@@ -28,11 +29,14 @@ def dispatch_stream(
     """
 
     if routes is not None:
-        routes = BroadcastLimit().local_copy(routes, ["prefix", "job"]) or routes
+        limit = options.get("limit", BroadcastLimit())
+        routes = limit.local_copy(routes, ["prefix", "job"]) or routes
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        plan = dispatch_plan(batch, routes, env, message, keys, **options)
-        plan.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        # Copies that the plan makes of the micro-batch go when its rows are written.
+        with scratch(batch.sparkSession):
+            plan = dispatch_plan(batch, routes, env, message, keys, **options)
+            plan.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     query = (
         messages.writeStream.foreachBatch(write_batch)

@@ -46,6 +46,8 @@ PHONE = f"""CASE c_custkey % 7
 PRODUCT_NAME = "CASE WHEN event_id % 13 = 0 THEN NULL ELSE event_type END"
 PRODUCT_PRICE = "CASE WHEN event_id % 17 = 0 THEN NULL ELSE value END"
 
+MISSING_PAGE = "run % 2 = 1 AND page = 2 + run % 40 OR run % 9 = 4 AND page = 1"
+
 # Object keys from page numbers and addresses.
 FORMAT_KEY = """concat('bronze/p/', page_id, CASE page_id % 8
     WHEN 0 THEN '.csv' WHEN 1 THEN '.DAT' WHEN 2 THEN '.tsv' WHEN 3 THEN '.txt'
@@ -72,8 +74,9 @@ MESSAGE = f"""CASE event_id % 10
     WHEN 5 THEN concat('not json ', event_type, ' {{')
     WHEN 6 THEN '{{"Records":[{{"eventSource":"aws:s3","s3":{{"bucket":{{"name":"b"}},"object":{{"key":""}}}}}}]}}'
     WHEN 7 THEN concat('{{"Bucket":"","s3Bucket":"z","key":"', k, '"}}')
-    WHEN 8 THEN concat('{{"bucket":"', b, '","object_key":"', k, '","detail":{{"x":1}}}}')
+    WHEN 8 THEN concat('{{"bucket":"first","bucket":"', b, '","object_key":"', k, '","detail":{{"x":1}}}}')
     ELSE concat('{{"Records":[{{"eventSource":"aws:s3",', {_S3}, '"}}}}}},{{"eventSource":"aws:s3",', {_S3}, '.bak"}}}}}}]}}') END"""
+ODD_ENVELOPE = """CASE event_id % 3 WHEN 0 THEN '{"Records":[' WHEN 1 THEN '{"Records":"none"}' ELSE '{"Records":[]}' END"""
 ROUTE_SPEC = "data/:bulk_load, data/special/:special_load ,no colon,inventory/:old_load,inventory/:stock_load"
 CUSTOMER_SPEC = """concat('orders/', c_nationkey, ':load-', c_custkey, ' , not a route,  sales/:', c_mktsegment,
     ', sales/ :last:', c_custkey, ',:nowhere')"""
@@ -127,7 +130,10 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of 50 pages; a page holds the purchases among 20 events, so pages differ in length."""
+    """Runs of 50 pages; a page holds the purchases among 20 events, so pages differ in length.
+
+    Of every other run some later page is missing, of every ninth the first one.
+    """
     item = F.when(F.col("event_type") == "purchase", F.struct(*_event_item()))
     return (
         table(spark, sf_dir, "events")
@@ -136,6 +142,7 @@ def fetch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.floor(F.col("event_id") % 1000 / 20) + 1).alias("page"),
         )
         .agg(F.to_json(F.struct(F.collect_list(item).alias("data"))).alias("response"))
+        .filter(f"NOT ({MISSING_PAGE})")
     )
 
 
@@ -145,7 +152,10 @@ def messages(events: DataFrame) -> DataFrame:
 
 
 def envelopes(events: DataFrame) -> DataFrame:
-    """Envelopes with a queue record, one behind a foreign record, two of them, or one without text."""
+    """Envelopes with a queue record, one behind a foreign record, two of them, or one without text.
+
+    Of every seventh, the text is cut off, or `Records` is no list, or there are none.
+    """
 
     def record(source: str, text) -> F.Column:
         return F.struct(F.lit(source).alias("EventSource"), F.struct(text.alias("Message")).alias("Sns"))
@@ -160,7 +170,9 @@ def envelopes(events: DataFrame) -> DataFrame:
         .when(kind == 2, F.array(queued, second))
         .otherwise(F.array(empty))
     )
-    return messages(events).select("event_id", F.to_json(F.struct(records.alias("Records"))).alias("envelope"))
+    whole = F.to_json(F.struct(records.alias("Records")))
+    odd = F.expr(ODD_ENVELOPE)
+    return messages(events).select("event_id", F.when(F.col("event_id") % 7 == 0, odd).otherwise(whole).alias("envelope"))
 
 
 def run_time() -> dt.datetime:

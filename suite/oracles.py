@@ -18,6 +18,7 @@ from suite.inputs import (
     KEY,
     LAST_NAME,
     MESSAGE,
+    MISSING_PAGE,
     PHONE,
     PRODUCT_NAME,
     PRODUCT_PRICE,
@@ -120,6 +121,27 @@ def _range(condition: str) -> str:
     return f"SELECT * FROM events WHERE {condition}"
 
 
+_RULES = f"""WITH e AS (SELECT event_id, event_type, event_id % 10 AS kind, {BUCKET} AS b, {KEY} AS k FROM events),
+        rules AS (SELECT DISTINCT b || ':' || event_type AS rule, b AS bucket,
+                         'customers/' || event_type || '/' AS prefix, '.csv' AS suffix FROM e
+                  UNION SELECT DISTINCT b, b, '', '1.csv' FROM e)
+        SELECT event_id, rule, b AS bucket, k AS object_key,
+               concat('{{"--bucket":"', b, '","--object_key":"', k, '","--env":"test"}}') AS arguments
+        FROM e JOIN rules ON bucket = b AND starts_with(k, prefix) AND ends_with(k, suffix) WHERE kind = 1"""
+
+
+def _exported(cap: int | None) -> str:
+    return f"""WITH selected AS (
+            SELECT row_number() OVER (ORDER BY event_id) AS rn FROM events
+            WHERE CAST(ts AS DATE) >= DATE '{AS_OF}' - 7 AND (value > 2 OR user_id = 1)),
+        numbered AS (SELECT * FROM selected WHERE {f"rn <= {cap}" if cap else "true"}),
+        status AS (SELECT (rn - 1) // 100 + 1 AS batch_number, count(*) AS records FROM numbered GROUP BY 1),
+        summary AS ({_SUMMARY})
+        SELECT *, (SELECT CAST(coalesce(sum(records), 0) AS BIGINT) FROM status WHERE batch_number % 4 <> 0) AS delivered_records,
+               (SELECT count(*) FROM selected) AS selected_records,
+               (SELECT count(*) FROM selected) > total_records AS truncated FROM summary"""
+
+
 ORACLES = {
     "scan_csv": "SELECT * FROM customer",
     "scan_dat": "SELECT * FROM part",
@@ -134,9 +156,17 @@ ORACLES = {
     "pages_assemble": f"""WITH {_PRODUCTS},
         placed AS (SELECT *, event_id // 1000 AS run, (event_id % 1000) // 20 + 1 AS page FROM products),
         sizes AS (SELECT run, page, count(*) FILTER (WHERE event_type = 'purchase') AS n FROM placed GROUP BY ALL),
-        ends AS (SELECT run, coalesce(min(page) FILTER (WHERE n < 3), max(page)) AS last FROM sizes GROUP BY run)
+        there AS (SELECT * FROM sizes WHERE NOT ({MISSING_PAGE})),
+        gaps AS (SELECT run, min(page) AS gap FROM sizes WHERE {MISSING_PAGE} GROUP BY run),
+        stops AS (SELECT run, coalesce(min(page) FILTER (WHERE n < 3), max(page)) AS stop FROM there GROUP BY run),
+        ends AS (SELECT run, least(stop, coalesce(gap - 1, stop)) AS last FROM stops LEFT JOIN gaps USING (run))
         SELECT run, page, id, name, category, price, description
         FROM placed JOIN ends USING (run) WHERE event_type = 'purchase' AND page <= last""",
+    "pages_assemble_single": f"""WITH {_PRODUCTS},
+        placed AS (SELECT *, event_id // 100 + 1 AS page FROM products),
+        sizes AS (SELECT page, count(*) AS n FROM placed WHERE page <> 7 GROUP BY page),
+        stop AS (SELECT least(coalesce(min(page) FILTER (WHERE n < 90), 6), 6) AS last FROM sizes)
+        SELECT page, id, name, category, price, description FROM placed, stop WHERE page <= last""",
     "parse_products": """SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS name, p_brand AS category,
         CAST(p_retailprice AS DECIMAL(10, 2)) AS price, p_type AS description FROM part""",
     "table_info": _COLUMNS,
@@ -154,6 +184,9 @@ ORACLES = {
     "run_report": f"""SELECT 'job_success' AS event_type, 'dev' AS environment, '{JOB}' AS job_name,
         '{RUN_ID}' AS job_run_id, 'scheduled' AS trigger_type, count(*) AS records_processed,
         'dev_customers_silver' AS output_paths, CAST(NULL AS VARCHAR) AS error FROM customer""",
+    "run_report_failure": f"""SELECT 'job_failure' AS event_type, '{JOB}' AS job_name, '{RUN_ID}' AS job_run_id,
+        CAST(NULL AS BIGINT) AS records_processed, '' AS output_paths,
+        'RuntimeError: the quality gate turned the rows down' AS error""",
     "clean_email": f"""SELECT c_custkey, raw, {_email("raw")} AS email
         FROM (SELECT c_custkey, {EMAIL_KINDS} AS raw FROM customer)""",
     "standardize_phone": f"""WITH digits AS (
@@ -179,6 +212,11 @@ ORACLES = {
                CASE WHEN price < 10 THEN 'budget' WHEN price < 50 THEN 'mid_range' ELSE 'premium' END AS price_category,
                CAST(length(name) AS INTEGER) AS name_length, {_STAMP}
         FROM products WHERE name IS NOT NULL AND price IS NOT NULL""",
+    "products_job": f"""WITH {_PRODUCTS}
+        SELECT id, name, category, price, description,
+               CASE WHEN price < 10 THEN 'budget' WHEN price < 50 THEN 'mid_range' ELSE 'premium' END AS price_category,
+               CAST(length(name) AS INTEGER) AS name_length, {_STAMP}
+        FROM products WHERE name IS NOT NULL AND price IS NOT NULL""",
     "group_count": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "quality_base": "SELECT count(*) AS total, '' AS missing, count(*) > 0 AS passed FROM customer",
     "quality_customers": f"""WITH {_CUSTOMERS},
@@ -199,6 +237,8 @@ ORACLES = {
         WHERE CAST(ts AS DATE) >= DATE '{AS_OF}' - 7 AND (value > 200 OR event_type = 'purchase')""",
     "export_limit": f"""SELECT event_id, value FROM events WHERE CAST(ts AS DATE) >= DATE '{AS_OF}' - 7
         ORDER BY event_id LIMIT 500""",
+    "export_limit_large": """SELECT l_returnflag, l_orderkey, l_linenumber FROM lineitem
+        ORDER BY l_returnflag, l_orderkey, l_linenumber LIMIT 150000""",
     "batch_records": """SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 100 + 1 AS BIGINT) AS batch_number,
         CAST(ceil(count(*) OVER () / 100.0) AS BIGINT) AS total_batches FROM orders""",
     "batch_payloads": """WITH numbered AS (
@@ -208,29 +248,20 @@ ORACLES = {
                count(*) AS records, CAST(count(*) AS INTEGER) AS sent_records,
                min(o_orderkey) AS min_key, max(o_orderkey) AS max_key
         FROM numbered GROUP BY ALL""",
-    "lake_export": f"""WITH numbered AS (
-            SELECT row_number() OVER (ORDER BY event_id) AS rn FROM events
-            WHERE CAST(ts AS DATE) >= DATE '{AS_OF}' - 7 AND (value > 2 OR user_id = 1)
-            ORDER BY event_id LIMIT 10000),
-        status AS (SELECT (rn - 1) // 100 + 1 AS batch_number, count(*) AS records FROM numbered GROUP BY 1)
-        {_SUMMARY}""",
+    "lake_export": _exported(None),
+    "lake_export_capped": _exported(750),
     "events_envelope": f"""WITH base AS (SELECT event_id, event_type, {BUCKET} AS b, {KEY} AS k FROM events),
         m AS (SELECT event_id, {MESSAGE} AS message FROM base)
         SELECT event_id, CAST(CASE event_id % 4 WHEN 1 THEN 2 ELSE 1 END AS INTEGER) AS record_no,
-               CASE WHEN event_id % 4 < 3 THEN message END AS message FROM m
-        UNION ALL SELECT event_id, 2, ' ' || message FROM m WHERE event_id % 4 = 2""",
+               CASE WHEN event_id % 4 < 3 THEN message END AS message FROM m WHERE event_id % 7 <> 0
+        UNION ALL SELECT event_id, 2, ' ' || message FROM m WHERE event_id % 4 = 2 AND event_id % 7 <> 0
+        UNION ALL SELECT event_id, NULL, NULL FROM m WHERE event_id % 7 = 0 AND event_id % 3 < 2""",
     "events_normalize": f"WITH {_EVENTS} SELECT * FROM found",
     "event_rule_match": f"""SELECT event_id,
         kind = 1 AND b = 'lake-1' AND starts_with(k, 'customers/') AND ends_with(k, '7.csv') AS matches,
         kind = 1 AND b = 'lake-0' AS matches_bucket
         FROM (SELECT event_id, event_id % 10 AS kind, {BUCKET} AS b, {KEY} AS k FROM events)""",
-    "event_rule_targets": f"""WITH e AS (SELECT event_id, event_type, event_id % 10 AS kind, {BUCKET} AS b, {KEY} AS k FROM events),
-        rules AS (SELECT DISTINCT b || ':' || event_type AS rule, b AS bucket,
-                         'customers/' || event_type || '/' AS prefix, '.csv' AS suffix FROM e
-                  UNION SELECT DISTINCT b, b, '', '1.csv' FROM e)
-        SELECT event_id, rule, b AS bucket, k AS object_key,
-               concat('{{"--bucket":"', b, '","--object_key":"', k, '","--env":"test"}}') AS arguments
-        FROM e JOIN rules ON bucket = b AND starts_with(k, prefix) AND ends_with(k, suffix) WHERE kind = 1""",
+    "event_rule_targets": _RULES,
     "route_spec_parse": f"""WITH specs AS (SELECT c_custkey, string_split({CUSTOMER_SPEC}, ',') AS entries FROM customer),
         entries AS (SELECT c_custkey, unnest(entries) AS entry, generate_subscripts(entries, 1) AS pos FROM specs),
         parts AS (SELECT c_custkey, pos, trim(split_part(entry, ':', 1)) AS prefix,
@@ -244,6 +275,16 @@ ORACLES = {
                    WHERE starts_with(host, 'm.') OR starts_with(host, 'blog.'))
         SELECT page_id, any_value(object_key) AS object_key, arg_max(job, length(prefix)) AS job_name
         FROM keys LEFT JOIN routes ON starts_with(object_key, prefix) GROUP BY page_id""",
+    "route_many": f"""WITH keys AS ({_KEYS}),
+        parts AS (SELECT split_part(object_key, '/', 1) AS host, split_part(object_key, '/', 2) AS lang
+                  FROM keys WHERE starts_with(url, 'https:')),
+        routes AS (SELECT DISTINCT host || '/' AS prefix, 'h-' || host AS job FROM parts
+                   UNION SELECT DISTINCT host || '/' || lang || '/', 'l-' || lang FROM parts
+                   WHERE starts_with(host, 'm.') OR starts_with(host, 'blog.')
+                   UNION SELECT object_key, 'j' || (page_id % 3) FROM keys),
+        one AS (SELECT prefix, min(job) AS job FROM routes GROUP BY prefix)
+        SELECT page_id, any_value(object_key) AS object_key, arg_max(job, length(prefix)) AS job_name
+        FROM keys LEFT JOIN one ON starts_with(object_key, prefix) GROUP BY page_id""",
     "route_default": f"""SELECT page_id, {FOLDER_KEY} AS object_key, CASE page_id % 6 WHEN 0 THEN 'test-sales_etl'
         WHEN 1 THEN 'test-customer_import' WHEN 2 THEN 'test-inventory_sync' WHEN 3 THEN 'test-product_catalog'
         END AS job_name FROM pages""",
@@ -258,9 +299,12 @@ ORACLES = {
                            WHEN count(event_no) = 0 THEN 'skipped' ELSE 'success' END AS status,
                            count(job_name) AS jobs_started FROM plan GROUP BY event_id),
         sent AS (SELECT event_id, CAST(CASE event_id % 4 WHEN 1 THEN 2 ELSE 1 END AS INTEGER) AS record_no FROM events
-                 UNION ALL SELECT event_id, 2 FROM events WHERE event_id % 4 = 2)
-        SELECT event_id, record_no, CASE WHEN event_id % 4 = 3 THEN 'error' ELSE status END AS status,
-               CASE WHEN event_id % 4 = 3 THEN 0 ELSE jobs_started END AS jobs_started
+                 WHERE event_id % 7 <> 0
+                 UNION ALL SELECT event_id, 2 FROM events WHERE event_id % 4 = 2 AND event_id % 7 <> 0
+                 UNION ALL SELECT event_id, NULL FROM events WHERE event_id % 7 = 0 AND event_id % 3 < 2)
+        SELECT event_id, record_no, CASE WHEN event_id % 4 = 3 OR record_no IS NULL THEN 'error' ELSE status END AS status,
+               CASE WHEN event_id % 4 = 3 OR record_no IS NULL THEN 0 ELSE jobs_started END AS jobs_started
         FROM sent JOIN outcome USING (event_id)""",
+    "event_rule_targets_many": _RULES,
     "stream_dispatch": f"WITH {_PLAN} SELECT * FROM plan",
 }

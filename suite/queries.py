@@ -12,10 +12,11 @@ from lakejobs.functions import cleaning
 from lakejobs.functions.categories import age_group, categorize_amount
 from lakejobs.functions.json_cells import record_cell
 from lakejobs.functions.metadata import add_processing_metadata
+from lakejobs.operators.bounded import BroadcastLimit
 from lakejobs.operators import batching, notifications, quality, routing, selection
 from lakejobs.plans.customers import CustomersJob, clean_customers
 from lakejobs.plans.export import export_rows
-from lakejobs.plans.products import enrich_products
+from lakejobs.plans.products import ProductsJob, enrich_products
 from lakejobs.session import fresh_path
 from lakejobs.sinks.tables import preview, table_of_key, write_table
 from lakejobs.sources.api_pages import assemble_pages, parse_response
@@ -86,6 +87,13 @@ def pages_assemble(spark: SparkSession, sf: str) -> DataFrame:
     return parse_response(assemble_pages(pages, page_size=3, run=("run",)), keep=["run", "page"])
 
 
+def pages_assemble_single(spark: SparkSession, sf: str) -> DataFrame:
+    """One run over all pages, which ends before the missing one."""
+    pages = inputs.product_pages(spark, sf)
+    found = assemble_pages(pages.filter("page <> 7"), page_size=90)
+    return parse_response(found, keep=["page"])
+
+
 def parse_products(spark: SparkSession, sf: str) -> DataFrame:
     return parse_response(inputs.part_responses(spark, sf))
 
@@ -176,6 +184,44 @@ def run_report(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def run_report_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of a job whose quality gate fails: most e-mails are taken away."""
+
+    class Poor(_DerivedCustomers):
+        def extract(self) -> DataFrame:
+            return super().extract().withColumn("email", F.when(F.col("customer_id") % 10 == 0, F.col("email")))
+
+    reports = _unique("job_runs")
+    config = JobConfig(JOB, RUN_ID, env="dev", log_level="ERROR")
+    job = Poor(config, spark, base_path=sf, report_table=reports, report_path=fresh_path(spark, "reports"))
+    job.logger.disabled = True
+    try:
+        job.run()
+    except RuntimeError:
+        job.logger.disabled = False
+    return spark.table(reports).select(
+        "event_type", "job_name", "job_run_id", "records_processed", F.array_join("output_paths", ",").alias("output_paths"), "error"
+    )
+
+
+def products_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The table that the whole product job writes."""
+    job = ProductsJob(
+        JobConfig(JOB, RUN_ID, env="dev", log_level="ERROR", enable_report=False),
+        spark,
+        pages=lambda: inputs.product_pages(spark, sf),
+        page_size=1,
+        table_path=fresh_path(spark, "products"),
+        run_time=inputs.run_time(),
+    )
+    # Each run has a table of its own.
+    job.entity = _unique("products")
+    job.run()
+    stamp = F.col("processed_timestamp").cast("timestamp_ntz").alias("processed_timestamp")
+    written = spark.table(job.table)
+    return written.select(*[stamp if name == "processed_timestamp" else F.col(name) for name in written.columns])
+
+
 # Column functions
 
 
@@ -285,6 +331,12 @@ def export_limit(spark: SparkSession, sf: str) -> DataFrame:
     return selection.capped(rows.select("event_id", "value"), ["event_id"], 500, 10_000)
 
 
+def export_limit_large(spark: SparkSession, sf: str) -> DataFrame:
+    """A limit of millions, more than any task should sort; ties in the leading column, which is text."""
+    rows = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
+    return selection.capped(rows, ["l_returnflag", "l_orderkey", "l_linenumber"], 150_000)
+
+
 def batch_records(spark: SparkSession, sf: str) -> DataFrame:
     return batching.batch_records(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"]).select(
         "o_orderkey", "batch_number", "total_batches"
@@ -311,6 +363,11 @@ def lake_export(spark: SparkSession, sf: str) -> DataFrame:
     return export_rows(table(spark, sf, "events"), request, _sender(), ["event_id"], "ts")
 
 
+def lake_export_capped(spark: SparkSession, sf: str) -> DataFrame:
+    request = ExportRequest.scheduled("events", "last_week", "value > 2 OR user_id = 1", as_of=AS_OF, max_records=750)
+    return export_rows(table(spark, sf, "events"), request, _sender(), ["event_id"], "ts")
+
+
 # Notifications
 
 
@@ -337,7 +394,7 @@ def event_rule_match(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.select("event_id", matches.alias("matches"), wide.alias("matches_bucket"))
 
 
-def event_rule_targets(spark: SparkSession, sf: str) -> DataFrame:
+def _rule_targets(spark: SparkSession, sf: str, limit: BroadcastLimit) -> DataFrame:
     """A rule per bucket and kind of event, and one per bucket for keys with a certain ending."""
     events = table(spark, sf, "events")
     bucket = F.expr(inputs.BUCKET)
@@ -351,10 +408,19 @@ def event_rule_targets(spark: SparkSession, sf: str) -> DataFrame:
         bucket.alias("rule"), bucket.alias("bucket"), F.lit("").alias("prefix"), F.lit("1.csv").alias("suffix")
     )
     rules = by_kind.union(by_ending).distinct()
-    targets = notifications.rule_targets(_messages(spark, sf), rules, "test", keys=("event_id",))
+    targets = notifications.rule_targets(_messages(spark, sf), rules, "test", keys=("event_id",), limit=limit)
     return targets.withColumn("arguments", F.to_json("arguments"))
 
 
+def event_rule_targets(spark: SparkSession, sf: str) -> DataFrame:
+    return _rule_targets(spark, sf, BroadcastLimit())
+
+
+def event_rule_targets_many(spark: SparkSession, sf: str) -> DataFrame:
+    """The same on the way for rules that are too many to be broadcast."""
+    return _rule_targets(spark, sf, BroadcastLimit(rows=3))
+
+
 def route_spec_parse(spark: SparkSession, sf: str) -> DataFrame:
     specs = table(spark, sf, "customer").select("c_custkey", F.expr(inputs.CUSTOMER_SPEC).alias("spec"))
     return routing.parse_route_specs(specs, keys=("c_custkey",))
@@ -382,6 +448,15 @@ def route_longest_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return routing.route_longest_prefix(_page_keys(pages), page_routes(pages))
 
 
+def route_many(spark: SparkSession, sf: str) -> DataFrame:
+    """A route per page address, more than are broadcast; some addresses have two jobs."""
+    pages = table(spark, sf, "pages")
+    keys = _page_keys(pages)
+    named = keys.select(F.col("object_key").alias("prefix"), F.concat(F.lit("j"), F.col("page_id") % 3).alias("job"))
+    routes = named.union(page_routes(pages))
+    return routing.route_longest_prefix(keys, routes, limit=BroadcastLimit(rows=20))
+
+
 def route_default(spark: SparkSession, sf: str) -> DataFrame:
     keys = table(spark, sf, "pages").select("page_id", F.expr(inputs.FOLDER_KEY).alias("object_key"))
     return keys.withColumn("job_name", routing.default_route(F.col("object_key"), "test"))
@@ -427,6 +502,7 @@ QUERIES = {
     "scan_fallback": scan_fallback,
     "detect_format": detect_format,
     "pages_assemble": pages_assemble,
+    "pages_assemble_single": pages_assemble_single,
     "parse_products": parse_products,
     "table_info": table_info,
     "sql_view_filter": sql_view_filter,
@@ -437,6 +513,8 @@ QUERIES = {
     "deliver_batches": deliver_batches,
     "delivery_summary": delivery_summary,
     "run_report": run_report,
+    "run_report_failure": run_report_failure,
+    "products_job": products_job,
     "clean_email": clean_email,
     "standardize_phone": standardize_phone,
     "standardize_name": standardize_name,
@@ -456,15 +534,19 @@ QUERIES = {
     "export_last_week": _export_dates("last_week"),
     "export_select": export_select,
     "export_limit": export_limit,
+    "export_limit_large": export_limit_large,
     "batch_records": batch_records,
     "batch_payloads": batch_payloads,
     "lake_export": lake_export,
+    "lake_export_capped": lake_export_capped,
     "events_envelope": events_envelope,
     "events_normalize": events_normalize,
     "event_rule_match": event_rule_match,
     "event_rule_targets": event_rule_targets,
+    "event_rule_targets_many": event_rule_targets_many,
     "route_spec_parse": route_spec_parse,
     "route_longest_prefix": route_longest_prefix,
+    "route_many": route_many,
     "route_default": route_default,
     "dispatch_plan": dispatch_plan,
     "dispatch_summary": dispatch_summary,

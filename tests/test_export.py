@@ -7,8 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakejobs.config import ExportRequest
-from lakejobs.operators import batching, selection
-from lakejobs.operators.batching import batch_payloads, batch_records, deliver_batches, delivery_summary, number_rows
+from lakejobs.operators.batching import (
+    batch_payloads,
+    batch_records,
+    deliver_batches,
+    delivery_summary,
+    first_rows_cut,
+    number_rows,
+)
 from lakejobs.operators.selection import capped, matching, on_dates, row_cap
 from lakejobs.plans.export import export_rows, export_table
 from lakejobs.session import fresh_path, shared_dir, stage
@@ -52,15 +58,13 @@ def test_where_with_or_binds_as_one_condition(stamped):
 
 
 def test_caps():
-    assert [row_cap(*c) for c in [(None, 10), (0, 10), (5, 10), (50, 10)]] == [10, 10, 5, 10]
+    caps = [(None, 10), (0, 10), (5, 10), (50, 10), (5, None), (None, None), (0, None)]
+    assert [row_cap(*c) for c in caps] == [10, 10, 5, 10, 5, None, None]
     with pytest.raises(ValueError):
         row_cap(-1, 10)
 
 
-@pytest.mark.parametrize("one_task", [batching.ONE_TASK_ROWS, 0])
-def test_capped_rows_are_the_first(spark, monkeypatch, one_task):
-    monkeypatch.setattr(batching, "ONE_TASK_ROWS", one_task)
-    monkeypatch.setattr(selection, "ONE_TASK_ROWS", one_task)
+def test_capped_rows_are_the_first(spark):
     df = spark.range(100).select((99 - F.col("id")).alias("k")).repartition(5)
     assert sorted(r["k"] for r in capped(df, ["k"], 7, 100).collect()) == list(range(7))
     assert capped(df, ["k"], None, 1000).count() == 100
@@ -76,10 +80,8 @@ def test_numbers_over_ranges_are_dense_and_ordered(spark, partitions):
     assert {r["total"] for r in rows} == {5000}
 
 
-@pytest.mark.parametrize("one_task", [batching.ONE_TASK_ROWS, 0])
 @pytest.mark.parametrize("limit", [1, 10, 95, 100, 1000])
-def test_limited_numbers_are_the_same_both_ways(spark, monkeypatch, one_task, limit):
-    monkeypatch.setattr(batching, "ONE_TASK_ROWS", one_task)
+def test_limited_numbers_are_the_first_ones(spark, limit):
     df = spark.range(100).select((99 - F.col("id")).alias("k"))
     rows = sorted((r["rn"], r["k"], r["total"]) for r in number_rows(df, ["k"], limit).collect())
     n = min(limit, 100)
@@ -99,6 +101,27 @@ def test_batches_partition_the_input(spark, n, size):
     assert [r for s in sent for r in s["records"]] == [{"k": str(i), "x": None} for i in range(n)]
 
 
+@pytest.mark.parametrize("limit", [1, 50, 900])
+def test_first_rows_are_cut_off_before_anything_moves(spark, tmp_path, limit):
+    """The bound on the leading column reaches the scan, and few rows are left for the sort."""
+    df = spark.range(20_000).select(
+        F.col("id").alias("n"),
+        F.when(F.col("id") % 100 > 0, F.concat(F.lit("key-"), F.lpad((F.col("id") * 7919 % 20_000).cast("string"), 6, "0"))).alias("s"),
+        (F.col("id") % 3).alias("g"),
+        F.timestamp_seconds(F.col("id") * 61 % 20_000).alias("ts"),
+    )
+    df.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for column in ("n", "s", "ts", "g"):
+        kept = first_rows_cut(df, column, limit)
+        wanted = [r[0] for r in df.orderBy(column, "n").limit(limit).select("n").collect()]
+        assert [r[0] for r in kept.orderBy(column, "n").limit(limit).select("n").collect()] == wanted
+        if column != "g":
+            # 200 rows share the null of `s`, which comes first.
+            assert kept.count() <= max(2 * limit, 200)
+            assert column == "s" and limit < 200 or f"LessThanOrEqual({column}" in kept._jdf.queryExecution().toString()
+
+
 def outbox(path, failing=lambda body: False):
     def send(payload):
         body = json.loads(payload)
@@ -132,33 +155,30 @@ def test_no_records_no_batches(spark):
 
 def test_requests():
     nightly = ExportRequest.scheduled("t", "last_week", "x > 1")
-    assert (nightly.date_filter, nightly.where, nightly.limit, nightly.batch_size) == ("last_week", "x > 1", 10_000, 100)
+    assert (nightly.date_filter, nightly.where, nightly.limit, nightly.batch_size) == ("last_week", "x > 1", None, 100)
     assert ExportRequest.scheduled().table == "dev_customers_silver"
     event = ExportRequest.object_event("silver/customers/part.parquet", "prod")
-    assert (event.table, event.date_filter, event.where, event.limit) == ("prod_customers_silver", "today", None, 10_000)
+    assert (event.table, event.date_filter, event.where, event.limit) == ("prod_customers_silver", "today", None, None)
     asked = ExportRequest.on_demand("t", where="a = 1")
-    assert (asked.table, asked.date_filter, asked.where, asked.limit) == ("t", "yesterday", "a = 1", 100)
+    assert (asked.table, asked.date_filter, asked.where, asked.limit) == ("t", "yesterday", "a = 1", None)
     with pytest.raises(ValueError):
         ExportRequest.scheduled("t", "sometime")
 
 
-@pytest.mark.parametrize("one_task", [batching.ONE_TASK_ROWS, 0])
-def test_export_delivers_the_capped_rows(spark, stamped, tmp_path, monkeypatch, one_task):
-    monkeypatch.setattr(batching, "ONE_TASK_ROWS", one_task)
+def test_export_delivers_the_capped_rows(spark, stamped, tmp_path):
     request = ExportRequest.scheduled("t", "last_week", "i <> 20", as_of="2024-01-12", max_records=25, batch_size=10)
     got = export_rows(stamped, request, outbox(str(tmp_path)), ["i"]).first().asDict()
     assert got["total_records"] == 25 and got["successful_batches"] == 3 and got["success_rate"] == 1.0
+    assert got["delivered_records"] == 25 and got["truncated"] and got["selected_records"] > 25
     assert sorted(os.listdir(tmp_path)) == ["1", "2", "3"]
 
 
 def staged(spark):
-    folder = os.path.join(shared_dir(spark), "lakejobs")
+    folder = os.path.join(shared_dir(spark), "lakejobs", spark.sparkContext.applicationId)
     return set(os.listdir(folder)) if os.path.exists(folder) else set()
 
 
-@pytest.mark.parametrize("one_task", [batching.ONE_TASK_ROWS, 0])
-def test_finished_work_leaves_nothing_in_the_shared_folder(spark, monkeypatch, one_task):
-    monkeypatch.setattr(batching, "ONE_TASK_ROWS", one_task)
+def test_finished_work_leaves_nothing_in_the_shared_folder(spark):
     spark.range(10).selectExpr("id", "current_timestamp() AS processed_timestamp").createOrReplaceTempView("fresh_rows")
     before = staged(spark)
     result = export_table(spark, ExportRequest.scheduled("fresh_rows", "today"), len, ["id"])
@@ -168,7 +188,7 @@ def test_finished_work_leaves_nothing_in_the_shared_folder(spark, monkeypatch, o
 
 
 def test_the_shared_folder_is_the_one_the_session_names(spark):
-    assert fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/lakejobs/x-")
+    assert fresh_path(spark, "x").startswith(f'{spark.conf.get("spark.checkpoint.dir")}/lakejobs/{spark.sparkContext.applicationId}/x-')
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
 
 

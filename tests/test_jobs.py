@@ -238,16 +238,16 @@ def test_customer_job_in_the_local_environment(spark, tmp_path, capsys):
 def test_failed_gate_raises_and_is_reported(spark, tmp_path):
     write_customers(tmp_path / "a.csv", [(1, "A", "B", "bad", None), (2, "A", "B", "bad", None), (3, "A", "B", "a@b.co", None)])
     job = job_of(CustomersJob, spark, tmp_path, base_path=str(tmp_path))
-    with pytest.raises(RuntimeError, match="Data validation failed"):
+    with pytest.raises(RuntimeError, match="quality gate"):
         job.run()
     report = spark.table(job.report_table).first()
-    assert report["event_type"] == "job_failure" and "Data validation failed" in report["error"]
+    assert report["event_type"] == "job_failure" and "quality gate" in report["error"]
     assert not (tmp_path / "out").exists()
 
 
 def test_missing_columns_fail_before_the_transform(spark, tmp_path):
     write_customers(tmp_path / "a.csv", [(1, "A")], header="customer_id,first_name")
-    with pytest.raises(RuntimeError, match="missing columns.*email"):
+    with pytest.raises(RuntimeError, match="columns are missing.*email"):
         job_of(CustomersJob, spark, tmp_path, base_path=str(tmp_path)).run()
 
 
@@ -272,7 +272,7 @@ def test_errors_are_reported_and_raised_and_a_lost_report_is_not_an_error(spark,
     job.frame, job.stop_at = spark.range(3), "transform"
     with pytest.raises(ValueError, match="transform failed"):
         job.run()
-    assert spark.table(job.report_table).first()["error"] == "Job failed: transform failed"
+    assert spark.table(job.report_table).first()["error"] == "ValueError: transform failed"
     job.stop_at, job.report_table = None, "no.such.catalog.table"
     assert job.run() is True
     assert spark.table("dev_things_silver").count() == 3
@@ -311,7 +311,7 @@ def test_product_job_in_the_local_environment(spark, tmp_path, capsys):
 
 def test_too_few_products_fail(spark, tmp_path):
     pages = pages_from_responses(spark, [product_response([{"id": 1, "name": "a", "price": 1}])])
-    with pytest.raises(RuntimeError, match="Data validation failed"):
+    with pytest.raises(RuntimeError, match="quality gate"):
         job_of(ProductsJob, spark, tmp_path, pages=lambda: pages).run()
     assert job_of(ProductsJob, spark, tmp_path).run() is True  # no pages, nothing to do
 
@@ -338,3 +338,15 @@ def test_command_line(spark, tmp_path, capsys):
     arguments = ["--table", "cli_rows", "--order_by", "id", "--send", "builtins:len", "--as_of", "2024-01-03"]
     assert main(["export", *arguments]) == 0
     assert "'total_batches': 3" in capsys.readouterr().out
+
+
+def test_customers_are_read_by_header_and_parsed_once(spark, tmp_path):
+    write_customers(tmp_path / "a.csv", FIXTURE)
+    job = job_of(CustomersJob, spark, tmp_path, base_path=str(tmp_path))
+    found = job.extract()
+    assert found.dtypes[0] == ("customer_id", "int")
+    # What comes later reads the staged copy.
+    assert "/lakejobs/" in found.inputFiles()[0] and "a.csv" not in found._jdf.queryExecution().toString()
+    write_customers(tmp_path / "b.csv", [("x@y.co", "A", "B", 7, None)], header="email,first_name,last_name,customer_id,phone")
+    with pytest.raises(Exception, match="(?i)header"):
+        job.extract()

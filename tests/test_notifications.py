@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakejobs.operators.bounded import BroadcastLimit
 from lakejobs.operators.notifications import (
+    dispatch_envelopes,
     dispatch_plan,
     dispatch_summary,
     match_rule,
@@ -101,11 +102,21 @@ def test_envelopes(spark):
         json.dumps({"Records": [{"EventSource": "aws:sns", "Sns": {"Message": flat, "Timestamp": "t"}}]}),
         json.dumps({"Records": [{"EventSource": "other"}, {"EventSource": "aws:sns", "Sns": {"Message": "m"}}]}),
         json.dumps({"Records": [{"EventSource": "aws:sns"}, {"EventSource": "aws:sns", "Sns": {"Message": {"a": 1}}}]}),
-        json.dumps({"Records": []}), "{}", "broken", None,
+        json.dumps({"Records": []}), "{}", "broken", None, "[1]", '{"Records": 1}', '{"Records": null}',
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, envelope string")
-    rows = sorted(tuple(r) for r in unwrap_envelopes(df, keys=("i",)).collect())
-    assert rows == [(0, 1, flat), (1, 2, "m"), (2, 1, None), (2, 2, None)]
+    rows = sorted((tuple(r) for r in unwrap_envelopes(df, keys=("i",)).collect()), key=lambda r: (r[0], r[1] or 0))
+    unreadable = [(i, None, None) for i in (5, 6, 7, 8, 9)]
+    assert rows == [(0, 1, flat), (1, 2, "m"), (2, 1, None), (2, 2, None), *unreadable]
+    plan = dispatch_envelopes(df, keys=("i",)).filter("record_no IS NULL").collect()
+    assert sorted((r["i"], r["status"]) for r in plan) == [(i, "error") for i in (5, 6, 7, 8, 9)]
+
+
+def test_the_last_of_repeated_keys_counts(spark):
+    texts = ['{"bucket":"a","bucket":"b","object_key":"sales/x"}', '{"bucket":"b","Records":1,"Records":[],"object_key":"k"}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, message string")
+    rows = sorted((r["i"], r["bucket"], r["status"]) for r in dispatch_plan(df, keys=("i",)).collect())
+    assert rows == [(0, "b", "matched"), (1, None, "skipped")]
 
 
 def test_plan_and_summary(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakejobs.operators import routing
 from lakejobs.operators.bounded import BroadcastLimit, salted_join
+from lakejobs.operators.notifications import dispatch_plan
 from lakejobs.operators.routing import default_route, parse_route_specs, route_jobs, route_longest_prefix
 
 NOTHING_FITS = BroadcastLimit(rows=0)
@@ -81,14 +82,14 @@ def test_limit_measures_rows_and_text(spark):
     assert BroadcastLimit().local_copy(df.limit(0), ["t"]).count() == 0
 
 
-@pytest.mark.parametrize("hottest, partitions", [(200, None), (1, 5), (200, 3), (3, 1000)])
-def test_salted_join_keeps_every_pair(spark, hottest, partitions):
+@pytest.mark.parametrize("partitions", [None, 3, 5, 1000])
+def test_salted_join_keeps_every_pair(spark, partitions):
     key = F.when(F.col("id") < 700, 0).when(F.col("id") < 800, None).otherwise(F.col("id") % 7)
     large = spark.range(1000).select("id", key.alias("k"), F.create_map(F.lit("a"), "id").alias("m"))
     small = spark.createDataFrame([(0, "a"), (0, "b"), (3, "c"), (99, "d"), (None, "e")], "k int, v string")
     for how in ("inner", "left"):
         want = large.join(small, "k", how).select("id", "k", "v")
-        got = salted_join(large, small, ["k"], how=how, hottest=hottest, partitions=partitions).select("id", "k", "v")
+        got = salted_join(large, small, ["k"], how=how, partitions=partitions).select("id", "k", "v")
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
@@ -99,16 +100,52 @@ def test_salted_join_of_nothing(spark):
     assert salted_join(small, none, ["k"], how="left").collect()[0]["id"] is None
 
 
-def test_hot_and_missing_keys_are_spread(spark):
+@pytest.fixture
+def plain_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def task_sizes(large, small, **options):
+    joined = salted_join(large, small, ["k"], how="left", **options).withColumn("p", F.spark_partition_id())
+    return [r["count"] for r in joined.groupBy("p").count().collect()]
+
+
+def test_hot_and_missing_keys_are_spread(spark, plain_joins):
     key = F.when(F.col("id") < 5000, 0).when(F.col("id") < 8000, None).otherwise(F.col("id"))
     large = spark.range(9000).select("id", key.alias("k"))
     small = spark.range(9000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    sizes = task_sizes(large, small)
+    assert sum(sizes) == 9000 and max(sizes) < 3000
+
+
+def test_equal_rows_and_many_warm_keys_are_spread(spark, plain_joins):
+    """One key of equal rows; and a thousand keys, each a thousandth of the rows, over many partitions."""
+    small = spark.range(1000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    equal = task_sizes(spark.range(8000).select(F.lit(7).alias("k")), small)
+    assert sum(equal) == 8000 and len(equal) >= 4 and max(equal) <= 3000
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
     try:
-        joined = salted_join(large, small, ["k"], how="left").withColumn("p", F.spark_partition_id())
-        sizes = [r["count"] for r in joined.groupBy("p").count().collect()]
+        warm = task_sizes(spark.range(40_000).select((F.col("id") % 40).alias("k")), small, partitions=400)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 9000 and max(sizes) < 3000
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sum(warm) == 40_000 and max(warm) < 1000
+
+
+def test_ties_of_routes_go_alike_on_both_ways(spark):
+    routes = spark.createDataFrame([("a/", "j2"), ("a/", "j1"), ("b/", None), ("b/", "x")], "prefix string, job string")
+    keys = spark.createDataFrame([("a/1",), ("b/1",), ("c/1",)], "object_key string")
+    for limit in (BroadcastLimit(), BroadcastLimit(rows=1)):
+        routed = route_longest_prefix(keys, routes, limit=limit)
+        assert sorted(tuple(r) for r in routed.collect()) == [("a/1", "j1"), ("b/1", None), ("c/1", None)]
+
+
+def test_messages_are_read_once_on_the_way_for_many_routes(spark):
+    messages = spark.createDataFrame([(1, '{"bucket":"b","object_key":"a/1"}')], "i int, message string")
+    routes = spark.createDataFrame([("a/", "j1"), ("b/", "j2")], "prefix string, job string")
+    plan = dispatch_plan(messages, routes, keys=("i",), limit=BroadcastLimit(rows=1))
+    assert "parse_json" not in plan._jdf.queryExecution().toString().lower()
+    assert [r["job_name"] for r in plan.collect()] == ["j1"]

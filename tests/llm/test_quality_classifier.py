@@ -1,0 +1,84 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from lakejobs.llm.quality_classifier import QualityParams, keep_good, score_quality, train_quality
+
+
+def text_of(rng, good):
+    if good:
+        words = [rng.choice(["the", "of", "and", "to", "in", "house", "river", "morning", "walk", "green", "they", "was"]) for _ in range(80)]
+        return " ".join(words).capitalize() + "."
+    return " | ".join(rng.choice(["BUY", "NOW", "$$$", "click", "FREE!!", "win", "###", "best"]) + str(rng.randrange(99)) for _ in range(60))
+
+
+@pytest.fixture(scope="module")
+def labelled(spark, documents):
+    rng = random.Random(2)
+    rows = [(i, text_of(rng, i % 3 > 0)) for i in range(600)]
+    labels = [(i, int(i % 3 > 0), 0) for i in range(450)] + [(0, 1, 0), (3, None, None), (None, 1, 0), (5, 7, 0)]
+    return documents(rows, extra=["label", "draw"]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_held_out_accuracy(labelled):
+    docs, labels = labelled
+    rows = score_quality(docs, train_quality(docs, labels)).collect()
+    assert len(rows) == 600
+    right = 0
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+        right += r.predicted == int(r.doc_id % 3 > 0)
+    assert right >= 595
+
+
+def test_held_out_labels_are_not_learned_from(labelled, spark):
+    """Turning all held-out labels round changes nothing."""
+    docs, labels = labelled
+    turned = spark.createDataFrame(
+        [(r.doc_id, 1 - r.quality if r.quality in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 5 == 0 else r.quality, 0) for r in labels.collect()],
+        labels.schema,
+    )
+    models = [train_quality(docs, x) for x in (labels, turned)]
+    assert models[0] == models[1]
+
+
+def test_real_documents(spark, documents):
+    """On the test documents, the score ranks held-out good ones before bad ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    known = score_quality(docs, train_quality(docs, labels)).join(labels, "doc_id").filter("held_out").collect()
+    good = np.array([r.score for r in known if r.quality == 1])
+    bad = np.array([r.score for r in known if r.quality == 0])
+    assert (good[:, None] > bad[None, :]).mean() > 0.9
+    assert np.mean([r.predicted == 1 for r in known if r.quality == 1]) > 0.95
+
+
+def test_rejected_documents_go_whole(labelled):
+    docs, labels = labelled
+    model = train_quality(docs, labels)
+    kept = keep_good(docs, model)
+    assert kept.schema == docs.schema
+    good = {r.doc_id for r in score_quality(docs, model).filter("predicted = 1").collect()}
+    assert sorted(map(tuple, kept.collect())) == sorted(tuple(r) for r in docs.collect() if r.doc_id in good)
+
+
+def test_odd_rows_and_missing_labels(spark, documents, labelled):
+    docs, labels = labelled
+    model = train_quality(docs, labels)
+    rows = [(1, None), (2, ""), (2, ""), (None, "x"), (3, "long text " * 50_000)]
+    got = score_quality(documents(rows), model).collect()
+    assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (1, 2)}) == 1
+    for some in (labels.filter("quality = 1"), labels.limit(0)):
+        got = score_quality(documents(rows), train_quality(docs, some)).collect()
+        assert {(r.score, r.predicted) for r in got} == {(0.5, 1)}
+    assert score_quality(documents([]), model).collect() == []
+    assert train_quality(documents([]), labels).good == b""
+
+
+def test_sample_is_bounded(labelled):
+    docs, labels = labelled
+    model = train_quality(docs, labels, QualityParams(sample_rows=40, pieces=30, piece_chars=100, dictionary_bytes=2000))
+    assert 0 < len(model.good) <= 2000 and 0 < len(model.bad) <= 2000

@@ -33,11 +33,13 @@ _COMMON_LEAD = 0xD3
 
 
 @cache
-def _coders(tokenizer: str, ranks: str):
+def _coders(tokenizer: str, ranks: str | None):
     import tiktoken
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(tokenizer)
+    if ranks is None:
+        return whole, None
     with open(ranks, "rb") as lines:
         pairs = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     special = {x.content: i for i, x in whole.get_added_tokens_decoder().items()}
@@ -51,14 +53,12 @@ def token_ids(texts: pa.Array, tokenizer: str, ranks: str | None, end: int = END
     With `ranks`, the same vocabulary in the form of the quicker library, texts in common scripts are
     coded by that one; its ids are the same.
     """
-    import tiktoken  # noqa: F401  the import fails here, not in the middle of a table
-
-    whole, quick = _coders(tokenizer, ranks or tokenizer)
+    whole, quick = _coders(tokenizer, ranks)
     data, offsets = text_bytes(texts)
     rare = np.concatenate([[0], np.cumsum(data > _COMMON_LEAD)])
     rare = np.diff(rare[offsets]) > 0
     for text, other in zip(texts.to_pylist(), rare.tolist(), strict=True):
-        if other or not ranks:
+        if other or quick is None:
             ids = np.array(whole.encode(text or "", add_special_tokens=False).ids, np.uint32)
         else:
             ids = quick.encode_to_numpy(text or "", allowed_special="all")

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from lakejobs.session import clear_staged  # noqa: E402
 from suite.queries import QUERIES  # noqa: E402
 
 
@@ -42,6 +43,7 @@ def main() -> None:
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
+            clear_staged(spark)
         seconds[name] = round(statistics.median(times[1:]), 4)
     spark.stop()
     print(

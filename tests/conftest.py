@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
+from lakejobs.session import clear_staged  # noqa: E402
+
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -26,6 +28,8 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_staged(session)
+    assert not list((base / "shared" / "lakejobs").glob("*")), "something staged outlives the suite"
     session.stop()
 
 

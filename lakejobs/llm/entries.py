@@ -70,9 +70,38 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Both engines split by the same expression; DuckDB's `\\x00` needs no class of its own as texts hold none.
 _WORDS = r"""list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"""
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+# Smallest id that each id reaches over `links` (a, b), both ways.
+_REACHED = """both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM both_ways UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a),
+lowest AS (SELECT a, min(b) AS low FROM reach GROUP BY a)"""
 
 ORACLES: dict[str, str] = {
+    "op5_embedding_dedup": f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id < y.vec_id
+          WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+{_REACHED},
+counts AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+       least(vec_id, coalesce(low, vec_id)) = vec_id AS kept
+FROM v LEFT JOIN counts ON counts.a = vec_id LEFT JOIN lowest ON lowest.a = vec_id""",
+    "op9_minhash_dedup": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, w[i:i + 3] AS s
+             FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1)) AS i FROM d)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y USING (s)
+           WHERE x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+          WHERE 100 * c >= 80 * (p.n + q.n - c)),
+{_REACHED}
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+       least(d.doc_id, coalesce(low, d.doc_id)) = d.doc_id AS kept
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON lowest.a = d.doc_id""",
     "op8_decontamination": f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, w, least(10, len(w)) AS n

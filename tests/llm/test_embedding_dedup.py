@@ -92,3 +92,19 @@ def test_odd_rows(spark):
 
 def result_any(df):
     return [tuple(r) for r in df.collect()]
+
+
+def test_audit_sees_broken_navigation_without_links_in_its_sample():
+    """Few links across shards, and a graph that leads nowhere: the beam has to give way to the full comparison."""
+    draw = np.random.default_rng(3)
+    vectors = draw.normal(size=(3000, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    graph = Graph(vectors, [np.full((3000, 32), -1, np.int32)], 0)
+    others = draw.normal(size=(3000, 16))
+    others /= np.linalg.norm(others, axis=1, keepdims=True)
+    others[1] = vectors[77]
+    truth = set(zip(*np.nonzero(others @ vectors.T >= 0.98)))
+    q, node, _ = graph.audited(others, None, GraphParams())
+    assert (1, 77) in truth and set(zip(q.tolist(), node.tolist())) == truth
+    q, node, _ = graph.audited(vectors, np.arange(3000), GraphParams())
+    assert set(zip(q.tolist(), node.tolist())) == set(zip(*np.nonzero(vectors @ vectors.T >= 0.98)))

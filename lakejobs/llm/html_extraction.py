@@ -3,8 +3,9 @@
 Pages of one host are merged by the style of their elements: an element's node is its path of tags and
 classes. A node's importance mixes two entropies over the host's pages: how much the presentation of
 its children varies, and how much the text below it does. Text that many pages repeat counts little.
-What has a known role (menus, adverts, forms, comments, ...) is left out by its tag, class or role; what
-has none goes when its branch is of low importance on its host.
+What has a known role (menus, adverts, forms, comments, ...) is left out by its tag or role, or by its class
+or id if a whole name says so and the page's text does not stand in it; what has none goes when its branch
+is of low importance on its host.
 """
 
 from __future__ import annotations
@@ -52,12 +53,12 @@ _CHROME_WORDS = frozenset(
     "signin signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 _NEVER_CHROME = frozenset(("html", "body", "main", "article"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*>|<[a-zA-Z/!][^<>]*\Z""", re.S
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
-_WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
@@ -86,6 +87,7 @@ class Element:
     main: bool
     children: list[str]
     skipped: bool = False
+    named: bool = False
 
 
 @dataclass
@@ -115,8 +117,47 @@ def _is_chrome(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return not _CHROME_WORDS.isdisjoint(_WORD.findall(names))
+    return False
+
+
+def _is_named(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether a whole class or id is made of words for chrome alone; headings and parts of names do not count."""
+    if not attributes or tag in _NEVER_CHROME or tag in _HEADINGS:
+        return False
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
+    return any(_CHROME_WORDS.issuperset(re.split("[-_]+", name.strip("-_"))) for name in names)
+
+
+def _settle_names(blocks: list[Block], elements: list[Element]) -> None:
+    """Make named branches chrome, but not what the page's articles or main element, or else all its text, stand in."""
+    if not any(x.named for x in elements):
+        return
+    within: dict[int, bool] = {}
+    # Elements come after those they stand in.
+    for x in elements:
+        above = x.parent
+        while above is not None and id(above) not in within and above.parent is not None:
+            above = above.parent
+        within[id(x)] = x.named or (above is not None and within.get(id(above), False))
+    own = [x for x in elements if x.tag in ("article", "main") or x.article or x.main]
+    own = [x for x in own if not x.chrome]
+    spared: set[int] = set()
+    if own:
+        # Only if none stands outside: comments, too, come as articles.
+        if all(within[id(x)] for x in own):
+            spared = {id(y) for x in own if x.parent is None or not (x.parent.article or x.parent.main) for y in _ancestors(x)}
+    else:
+        left = [x for x in blocks if not x.home.chrome]
+        if all(within.get(id(x.home), False) for x in left):
+            spared = {id(x) for x in elements if x.named}
+    gone: set[int] = set()
+    for x in elements:
+        above = x.parent
+        while above is not None and id(above) not in within and above.parent is not None:
+            above = above.parent
+        if (x.named and id(x) not in spared) or (above is not None and id(above) in gone):
+            gone.add(id(x))
+            x.chrome, x.article, x.main = True, False, False
 
 
 def parse(page: str) -> tuple[list[Block], list[Element]]:
@@ -180,7 +221,9 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         attributes = _attributes(match[3])
         above = stack[-1]
         style = f"{tag}.{'.'.join(sorted(attributes.get('class', '').split()))}#{attributes.get('role', '')}"
-        chrome = above.chrome or _is_chrome(tag, attributes, above.article)
+        named = _is_named(tag, attributes)
+        # Inside a line a name decides at once; of blocks, when the page is known.
+        chrome = above.chrome or _is_chrome(tag, attributes, above.article) or (named and tag not in _BLOCK)
         article = (above.article or tag == "article" or "articlebody" in attributes.get("itemprop", "").lower()) and not chrome
         main = (above.main or tag == "main" or attributes.get("role") == "main" or article) and not chrome
         if tag in _BLOCK or chrome != above.chrome:
@@ -190,13 +233,14 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         styled = bool(attributes.get("class") or attributes.get("id"))
         # Inside a line, what has a role of its own is skipped without dividing the line.
         skipped = above.skipped or (chrome and not above.chrome and tag not in _BLOCK)
-        element = Element(tag, node, above, styled, chrome, article, main, [], skipped)
+        element = Element(tag, node, above, styled, chrome, article, main, [], skipped, named)
         if match[3].endswith("/") and tag not in _BLOCK:
             continue
         stack.append(element)
         if tag in _BLOCK:
             elements.append(element)
     flush()
+    _settle_names(blocks, elements)
     return blocks, elements
 
 

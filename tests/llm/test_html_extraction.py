@@ -74,3 +74,20 @@ def test_articles_stay_however_often_they_occur(spark):
 
 def test_empty_table(spark):
     assert extract_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div class='site has-sidebar'><article><p>in</p></article></div>", "in"),
+        ("<div id=page class='comments-enabled'><p>in</p></div>", "in"),
+        ("<div class=sidebar><article><p>in</p></article></div>", "in"),
+        ("<div class=widget><p>in</p></div>", "in"),
+        ("<article><div class=entry-header><h1>Title</h1></div><h2 id=related-work>Work</h2><section id=search-methods><p>in</p></section></article>", "Title\nWork\nin"),
+        ("<article><h2 id=related>Related</h2><p>in</p><div class=share>no</div></article>", "Related\nin"),
+        ("<article><p>in</p></article><div id=comments><article><p>no</p></article></div>", "in"),
+        ("<div class=ad>no</div><p>in</p>", "in"),
+    ],
+)
+def test_names_do_not_take_the_text(page, text):
+    assert main_text(page) == text

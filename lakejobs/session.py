@@ -64,15 +64,21 @@ def clear_staged(spark: SparkSession) -> None:
     _delete(spark, _own_folder(spark))
 
 
+def staging_path(spark: SparkSession, purpose: str) -> str:
+    """A fresh path that a surrounding `scratch` deletes; for what tasks write themselves."""
+    path = fresh_path(spark, purpose)
+    kept = _scratch.get()
+    if kept is not None:
+        kept.append(path)
+    return path
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back: cuts lineage, survives lost executors.
 
     Inside `scratch` the copy lives until the end of the block, else until `clear_staged`.
     """
-    path = fresh_path(df.sparkSession, purpose)
-    kept = _scratch.get()
-    if kept is not None:
-        kept.append(path)
+    path = staging_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from lakejobs.llm.decontamination import find_passages
 from lakejobs.llm.embedding_dedup import near_vectors
+from lakejobs.llm.hard_negatives import mine_hard_negatives
 from lakejobs.llm.html_extraction import extract_text
+from lakejobs.llm.importance_resampling import resample
 from lakejobs.llm.license_scan import scan_licenses
 from lakejobs.llm.line_dedup import line_decisions
 from lakejobs.llm.minhash_dedup import MinMaxParams, near_duplicates
@@ -18,6 +20,7 @@ from lakejobs.llm.packing import pack
 from lakejobs.llm.quality_classifier import score_quality, train_quality
 from lakejobs.llm.secret_scan import scan_secrets
 from lakejobs.llm.shared import table
+from lakejobs.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +70,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_long", "n_dropped", dropped)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
 # Both engines split by the same expression; DuckDB's `\\x00` needs no class of its own as texts hold none.
 _WORDS = r"""list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -118,6 +134,46 @@ items AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, '
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+    "op11_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL),
+scores AS (SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same,
+                  CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+           FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor, other, score FROM scores WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.other AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+       n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same
+     AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other) <= 5""",
+    # The checksum of a word, byte by byte, with the table that its polynomial gives.
+    "op12_importance_resampling": f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+b AS (SELECT {_WORDS} AS w FROM benchmark),
+found AS (SELECT r, word, count(*) AS n FROM (SELECT r, unnest(w) AS word FROM d) GROUP BY ALL),
+wanted AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM b) GROUP BY ALL),
+codes AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS code),
+digits AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM found UNION SELECT word FROM wanted)),
+bytes AS (SELECT word, list_transform(range(0, len(h) // 2), lambda i:
+    16 * (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1) AS b FROM digits),
+buckets AS (SELECT word, xor(4294967295, list_reduce(list_concat([4294967295], CAST(b AS BIGINT[])),
+    lambda c, x: xor(code[xor(c % 256, x) + 1], c // 256))) % 10000 AS bucket FROM bytes, codes),
+s AS (SELECT bucket, sum(n) AS n FROM found JOIN buckets USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS n FROM wanted JOIN buckets USING (word) GROUP BY bucket),
+gains AS (SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+    / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS gain FROM s LEFT JOIN t USING (bucket)),
+weights AS (SELECT r, CAST(sum(n * gain) AS BIGINT) AS weight FROM found JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY r),
+scored AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('2024:' || doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE)
+        / 4294967296))) AS BIGINT) AS score FROM d LEFT JOIN weights USING (r)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= (SELECT count(*) FROM scored WHERE n_features >= 20) * 10 // 100 THEN place END AS rank
+FROM ranked""",
 }
 QUERIES: dict[str, Query] = {
     function.__name__: function
@@ -132,5 +188,8 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_minhash_dedup,
         op10_line_dedup,
+        op11_hard_negatives,
+        op12_importance_resampling,
+        op13_token_counts,
     )
 }

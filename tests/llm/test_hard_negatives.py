@@ -1,0 +1,99 @@
+import math
+
+import numpy as np
+import pytest
+from lakejobs.llm.hard_negatives import MiningParams, _PRIMES, exact_scores, first_places, mine_hard_negatives, primes_for, residues
+from pyspark.sql import functions as F
+
+SCHEMA = "vec_id long, embedding array<double>, label int, rank int, score string"
+
+
+def expected(rows, is_anchor, params):
+    """By place, as ids may repeat."""
+    usable = []
+    for place, (vec, x, label) in enumerate(rows):
+        if vec is None or label is None or x is None or any(v is None or not math.isfinite(v) for v in x):
+            continue
+        whole = [math.floor(params.scale * v) for v in x]
+        if sum(v * v for v in whole) < 1 << 59:
+            usable.append((vec, place, label, whole))
+    out = []
+    for vec, place, label, x in usable:
+        if not is_anchor(vec):
+            continue
+        scored = [(-sum(map(int.__mul__, x, y)), v, p, la == label) for v, p, la, y in usable if p != place and len(x) == len(y)]
+        scored.sort()
+        for minus, v, _, _ in [r for r in scored if r[3]][: params.positives]:
+            near = [r for r in scored if not r[3] and params.low * -minus <= 100 * -r[0] <= params.high * -minus]
+            out += [(vec, v, rank, r[1], -minus, -r[0]) for rank, r in enumerate(near[: params.negatives], 1)]
+    return sorted(out)
+
+
+def mined(spark, rows, anchor, params):
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).coalesce(1)
+    return sorted(tuple(r) for r in mine_hard_negatives(df, anchor, params=params).collect())
+
+
+def vectors(n, size, spread, seed=5):
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(size=(6, size))
+    return [(i, (middles[i % 6] + rng.normal(size=size) * spread).tolist(), int(rng.integers(3))) for i in range(n)]
+
+
+@pytest.mark.parametrize(
+    "params",
+    [MiningParams(), MiningParams(scale=1000, positives=3, negatives=2, low=50, high=90, block=4, chunk=60, tile=17)],
+)
+@pytest.mark.parametrize("size", [5, 64, 150])
+def test_against_all_scores(spark, params, size):
+    rows = vectors(220, size, 0.4)
+    want = expected(rows, lambda i: i % 20 == 0, params)
+    assert mined(spark, rows, F.col("vec_id") % 20 == 0, params) == want and want
+
+
+def test_ties_and_equal_vectors(spark):
+    params = MiningParams(scale=1, block=3, tile=4)
+    rows = [(i, [float(i % 3 + 1), 2.0], i % 2) for i in range(60)]
+    want = expected(rows, lambda i: i % 10 == 0, params)
+    assert mined(spark, rows, F.col("vec_id") % 10 == 0, params) == want and want
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 1.0], 1), (1, [1.0, 0.9], 1), (2, [0.9, 0.9], 2), (None, [1.0, 1.0], 2), (3, None, 2), (4, [1.0, None], 2),
+        (5, [nan, 1.0], 2), (6, [1.0, inf], 2), (7, [1.0, 1.0], None), (8, [], 1), (9, [], 2), (10, [1.0], 1), (11, [1.0], 1),
+        (12, [1e300, 1.0], 2), (13, [-1.0, -1.0], 1), (0, [1.0, 1.0], 1), (2, [0.9, 0.9], 2), (20, [0.0, 0.0], 3), (30, [0.0, 0.0], 3),
+    ]
+    want = expected(rows, lambda i: i % 10 == 0, MiningParams())
+    assert mined(spark, rows, F.col("vec_id") % 10 == 0, MiningParams()) == want and want
+
+
+def test_no_rows_no_anchors_and_null_anchors(spark):
+    assert mined(spark, [], F.col("vec_id") == 0, MiningParams()) == []
+    rows = vectors(20, 3, 0.3)
+    assert mined(spark, rows, F.lit(False), MiningParams()) == []
+    assert mined(spark, rows, F.lit(None).cast("boolean"), MiningParams()) == []
+
+
+@pytest.mark.parametrize("largest", [3, 300, 1 << 20, (1 << 26) - 1])
+def test_scores_are_exact_and_signed(largest):
+    rng = np.random.default_rng(largest)
+    a, b = (rng.integers(-largest, largest, (n, 130)) for n in (7, 9))
+    a[0], b[0], b[1] = largest, largest, -largest
+    bound = 130 * largest * largest
+    primes = primes_for(bound)
+    want = [[sum(int(x) * int(y) for x, y in zip(p, q, strict=True)) for q in b] for p in a]
+    assert exact_scores(residues(a, primes), residues(b, primes), primes).tolist() == want
+
+
+def test_primes():
+    assert all(p % q for p in _PRIMES for q in range(2, 32)) and sorted(_PRIMES, reverse=True) == list(_PRIMES)
+    assert primes_for(1) == _PRIMES[:2] and math.prod(_PRIMES) > 2 << 60
+    assert 64 * ((max(_PRIMES) - 1) // 2) ** 2 < 1 << 24, "sums are exact in float32"
+
+
+def test_first_places_take_the_earlier_one_on_ties():
+    none = np.iinfo(np.int64).min
+    places, values = first_places(np.array([[5, 7, 7, none], [none, none, 1, none]]), 3)
+    assert places[0].tolist() == [1, 2, 0] and values.tolist() == [[7, 7, 5], [1, none, none]]

@@ -17,9 +17,13 @@ from lakejobs.session import session
 def _customers(argv: list[str]) -> bool:
     parser = argparse.ArgumentParser(prog="lakejobs customers", allow_abbrev=False)
     parser.add_argument("--base_path", required=True)
-    parser.add_argument("--schema", help="columns in file order, like 'customer_id int, email string'; spares inference")
+    types = parser.add_mutually_exclusive_group()
+    types.add_argument("--schema", help="columns of the files' header with their types, like 'customer_id bigint, email string'")
+    types.add_argument("--infer", action="store_true", help="infer the types of all columns, which reads all files once more")
     options, _ = parser.parse_known_args(argv)
-    return CustomersJob(JobConfig.from_args(argv), base_path=options.base_path, schema=options.schema).run()
+    return CustomersJob(
+        JobConfig.from_args(argv), base_path=options.base_path, schema=options.schema, infer=options.infer
+    ).run()
 
 
 def _products(argv: list[str]) -> bool:

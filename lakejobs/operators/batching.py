@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,23 +149,42 @@ def batch_payloads(
     return grouped.select("batch_number", "total_batches", "records", payload.alias("payload"))
 
 
-def deliver_batches(payloads: DataFrame, send: Callable[[str], object]) -> DataFrame:
+@dataclass(frozen=True)
+class Retry:
+    """A batch is sent up to `attempts` times; waits between them, in seconds, grow by `factor` from `wait` to `longest`."""
+
+    attempts: int = 3
+    wait: float = 1.0
+    factor: float = 2.0
+    longest: float = 30.0
+
+    def call(self, send: Callable[[str], object], payload: str) -> str | None:
+        """Send, and again while that fails; the last error's text, or None."""
+        for attempt in range(self.attempts):
+            try:
+                send(payload)
+                return None
+            except Exception as error:
+                text = str(error) or type(error).__name__
+            if attempt + 1 < self.attempts:
+                time.sleep(min(self.longest, self.wait * self.factor**attempt))
+        return text
+
+
+ONCE = Retry(attempts=1)
+
+
+def deliver_batches(payloads: DataFrame, send: Callable[[str], object], retry: Retry = ONCE) -> DataFrame:
     """Call `send(payload)` for every batch on the executors; rows `(batch_number, records, ok, error)`.
 
-    An exception marks its batch as failed and the others go on. The status rows are written once
-    and read back, so that using them does not send again. A task that Spark repeats does send its
-    batches again: receivers should drop a `batch_number` they have seen.
+    An exception marks its batch as failed, after the attempts that `retry` allows, and the others go on. The status
+    rows are written once and read back, so that using them does not send again. A task that Spark repeats does send
+    its batches again: receivers should drop a `batch_number` they have seen, or see `deliver_resumable`.
     """
 
     def attempt(frames: Iterator) -> Iterator:
         for frame in frames:
-            errors = []
-            for payload in frame["payload"]:
-                try:
-                    send(payload)
-                    errors.append(None)
-                except Exception as error:
-                    errors.append(str(error) or type(error).__name__)
+            errors = [retry.call(send, payload) for payload in frame["payload"]]
             frame = frame[["batch_number", "records"]]
             yield frame.assign(ok=[error is None for error in errors], error=errors)
 

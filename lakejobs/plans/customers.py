@@ -12,7 +12,7 @@ from lakejobs.operators.quality import quality_customers
 from lakejobs.plans.job import LakeJob
 from lakejobs.schemas import CUSTOMER
 from lakejobs.session import stage
-from lakejobs.sources.files import data_path, detect_format, read_first_found, read_fixture
+from lakejobs.sources.files import RESCUED, data_path, detect_format, read_first_found, read_fixture
 
 
 def clean_customers(df: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ class CustomersJob(LakeJob):
     In the local environment: `customers.dat` or else `customers.csv` in the base path. Columns are taken by
     the files' header and typed as `schemas.CUSTOMER` declares, further ones are kept as text. A `schema` of
     one's own must agree with the header; with `infer`, types are inferred, which reads all files once more.
-    Files are parsed once, into the shared folder.
+    Files are parsed once, into the shared folder. Rows with a cell that does not fit its declared type go to the
+    quarantine table, with the cell's text in the map `_rescued`; the job fails if no other rows are left.
     """
 
     entity = "customers"
@@ -63,7 +64,15 @@ class CustomersJob(LakeJob):
             candidates = [(data_path(self.config, self.base_path, scheme=self.scheme), detect_format(self.config.object_key))]
         else:
             candidates = [(data_path(self.config, self.base_path, f"*.{kind}"), kind) for kind in ("dat", "csv")]
-        return stage(read_first_found(self.spark, candidates, self.schema, self.declared), "customers")
+        rescued = RESCUED if self.declared is not None else None
+        return self.prepare(stage(read_first_found(self.spark, candidates, self.schema, self.declared, rescued), "customers"))
+
+    def prepare(self, staged: DataFrame) -> DataFrame:
+        if RESCUED not in staged.columns:
+            return staged
+        stamped = add_processing_metadata(staged, self.config.job_name, self.config.job_run_id, self.run_time)
+        self.rejected = stamped.filter(F.col(RESCUED).isNotNull())
+        return staged.filter(F.col(RESCUED).isNull()).drop(RESCUED)
 
     def _fixture(self) -> DataFrame:
         try:

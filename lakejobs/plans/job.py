@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from lakejobs.config import JobConfig
 from lakejobs.operators.quality import missing_columns, quality_base
-from lakejobs.session import scratch, session
+from lakejobs.session import scratch, session, stage
 from lakejobs.sinks.reports import REPORT_TABLE, append_report, run_report
 from lakejobs.sinks.tables import show_preview, table_name, write_table
 
@@ -49,6 +49,7 @@ class LakeJob:
         self.logger = logging.getLogger(f"lakejobs.{config.job_name}")
         self.logger.setLevel(config.log_level)
         self.quality: Row | None = None
+        self.rejected: DataFrame | None = None
 
     def extract(self) -> DataFrame | None:
         """The input, or None when there is nothing to do."""
@@ -65,6 +66,10 @@ class LakeJob:
     def table(self) -> str:
         return table_name(self.config.env, self.entity, self.layer)
 
+    @property
+    def quarantine_table(self) -> str:
+        return table_name(self.config.env, self.entity, "quarantine")
+
     def validate(self, df: DataFrame | None) -> bool:
         """No table, an empty one, one without a required column, or a failed gate: False."""
         if df is None:
@@ -86,6 +91,19 @@ class LakeJob:
             return rows
         return write_table(df, self.table, table_format=self.table_format, path=self.table_path)
 
+    def quarantine(self) -> int:
+        """Replace the quarantine table by the rows that `extract` has set aside in `rejected`; their number."""
+        if self.rejected is None:
+            return 0
+        if self.config.env == "local":
+            rows = self.rejected.count()
+        else:
+            path = f"{self.table_path}-quarantine" if self.table_path else None
+            rows = write_table(self.rejected, self.quarantine_table, table_format=self.table_format, path=path)
+        if rows:
+            self.logger.warning("%s rows do not fit the declared types, see %s", rows, self.quarantine_table)
+        return rows
+
     def run(self) -> bool:
         try:
             with scratch(self.spark):
@@ -100,7 +118,10 @@ class LakeJob:
 
     def _run(self) -> bool:
         raw = self.extract()
+        set_aside = self.quarantine()
         if raw is None or raw.isEmpty():
+            if set_aside:
+                raise RuntimeError("no row fits the declared types")
             self.logger.warning("no data extracted, nothing to do")
             return True
         missing = missing_columns(raw, self.required_columns)
@@ -113,6 +134,33 @@ class LakeJob:
         self._report(records=rows, output_paths=[] if self.config.env == "local" else [self.table])
         return True
 
+    def run_batch(self, rows: DataFrame, path: str) -> int:
+        """Transform, validate and write the rows of one micro-batch, replacing what `path` holds; their number.
+
+        The rows are parsed once. Raises if the gate turns them down, so that the micro-batch is not taken as done.
+        Rows set aside go to a folder beside the others, `<parent>-quarantine/<name>`.
+        """
+        with scratch(self.spark):
+            kept = self.prepare(stage(rows, self.entity))
+            if self.rejected is not None:
+                parent, _, name = path.rpartition("/")
+                self.rejected.write.mode("overwrite").parquet(f"{parent}-quarantine/{name}")
+            if kept.isEmpty():
+                if self.rejected is not None and not self.rejected.isEmpty():
+                    raise RuntimeError("no row fits the declared types")
+                return 0
+            result = self.transform(kept)
+            if not self.validate(result):
+                raise RuntimeError("the quality gate turned the rows down")
+            result.write.mode("overwrite").parquet(path)
+            written = self.quality["total"]
+        self._report(records=written, output_paths=[path])
+        return written
+
+    def prepare(self, staged: DataFrame) -> DataFrame:
+        """What of the parsed rows goes on; jobs may set rows aside in `rejected`."""
+        return staged
+
     def _report(self, **outcome) -> None:
         """A report that cannot be written does not fail the job."""
         if not self.config.enable_report:

@@ -14,7 +14,7 @@ PRODUCT = T.StructType(
 
 CUSTOMER = T.StructType(
     [
-        T.StructField("customer_id", T.IntegerType()),
+        T.StructField("customer_id", T.LongType()),
         T.StructField("first_name", T.StringType()),
         T.StructField("last_name", T.StringType()),
         T.StructField("email", T.StringType()),

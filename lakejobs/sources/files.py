@@ -28,6 +28,8 @@ EXTENSION_FORMATS = {
     "parquet": "parquet",
 }
 DEFAULT_FORMAT = "csv"
+# Column that holds the text of cells that do not fit their declared type, by column.
+RESCUED = "_rescued"
 
 
 def reader_options(file_format: str) -> tuple[str, dict[str, str]]:
@@ -65,19 +67,43 @@ def read_files(
     return reader.load(path)
 
 
-def read_declared(spark: SparkSession, path: str | list[str], file_format: str, declared: T.StructType) -> DataFrame:
-    """Read delimited files by their header, without a pass for inference.
+def typed_by_name(texts: DataFrame, declared: T.StructType, rescued: str | None = None) -> DataFrame:
+    """Text columns that are declared get their type, in values that fit it; further ones stay text.
 
-    Columns of the header that are declared get their type, in values that fit it; further ones stay text.
-    All files must have the header of the first one.
+    With `rescued`, a column of that name maps each column whose text does not fit to that text; null where all fit.
+    Works on streams as well.
+    """
+    types = {field.name: field.dataType for field in declared}
+    cells = {name: F.col(f"`{name}`") for name in texts.columns}
+    typed = [cell.try_cast(types[name]).alias(name) if name in types else cell for name, cell in cells.items()]
+    if rescued is None:
+        return texts.select(*typed)
+    misfits = [
+        F.when(cell.isNotNull() & cell.try_cast(types[name]).isNull(), F.struct(F.lit(name).alias("key"), cell.alias("value")))
+        for name, cell in cells.items()
+        if name in types and not isinstance(types[name], T.StringType)
+    ]
+    found = F.map_from_entries(F.array_compact(F.array(*misfits))) if misfits else F.lit(None).cast("map<string,string>")
+    return texts.select(*typed, F.when(F.size(found) > 0, found).alias(rescued))
+
+
+def text_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+def read_declared(
+    spark: SparkSession, path: str | list[str], file_format: str, declared: T.StructType, rescued: str | None = None
+) -> DataFrame:
+    """Read delimited files by their header, without a pass for inference; types as in `typed_by_name`.
+
+    All files must have the header of the first one. In formats that hold types nothing has to be rescued.
     """
     source, options = reader_options(file_format)
     if source != "csv":
-        return read_files(spark, path, file_format)
+        typed = read_files(spark, path, file_format)
+        return typed.withColumn(rescued, F.lit(None).cast("map<string,string>")) if rescued else typed
     header = spark.read.format(source).options(**options).load(path).columns
-    texts = read_files(spark, path, file_format, T.StructType([T.StructField(name, T.StringType()) for name in header]))
-    types = {field.name: field.dataType for field in declared}
-    return texts.select(*(F.col(f"`{x}`").try_cast(types[x]).alias(x) if x in types else F.col(f"`{x}`") for x in header))
+    return typed_by_name(read_files(spark, path, file_format, text_schema(header)), declared, rescued)
 
 
 def detect_format(object_key: str) -> str:
@@ -104,13 +130,14 @@ def read_first_found(
     candidates: list[tuple[str, str]],
     schema: T.StructType | str | None = None,
     declared: T.StructType | None = None,
+    rescued: str | None = None,
 ) -> DataFrame:
     """Read the first (path, format) that exists; any error but a missing path is raised."""
     missing: AnalysisException | None = None
     for path, file_format in candidates:
         try:
             if declared is not None:
-                return read_declared(spark, path, file_format, declared)
+                return read_declared(spark, path, file_format, declared, rescued)
             return read_files(spark, path, file_format, schema)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":

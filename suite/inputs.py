@@ -33,6 +33,11 @@ FIRST_NAME = """CASE WHEN c_custkey % 20 = 7 THEN NULL
     WHEN c_custkey % 4 = 1 THEN concat('  ', c_mktsegment, '   &  Co ')
     ELSE c_mktsegment END"""
 LAST_NAME = "CASE WHEN c_custkey % 11 = 3 THEN NULL WHEN c_custkey % 3 = 0 THEN '!!' ELSE c_name END"
+# Ids in files: some beyond 32 bits, some that are no numbers.
+CUSTOMER_ID = """CASE WHEN customer_id % 13 = 4 THEN concat('C', customer_id)
+    WHEN customer_id % 13 = 5 THEN CAST(3000000000 + customer_id AS VARCHAR(20))
+    ELSE CAST(customer_id AS VARCHAR(20)) END"""
+CUSTOMER_COLUMNS = ["customer_id", "first_name", "last_name", "email", "phone"]
 _DIGITS = "CAST(5550000000 + c_custkey AS VARCHAR(20))"
 PHONE = f"""CASE c_custkey % 7
     WHEN 0 THEN concat(substr({_DIGITS}, 1, 3), '-', substr({_DIGITS}, 4, 3), '-', substr({_DIGITS}, 7, 4))

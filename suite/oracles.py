@@ -8,6 +8,7 @@ from __future__ import annotations
 from suite.inputs import (
     AS_OF,
     BUCKET,
+    CUSTOMER_ID,
     CUSTOMER_SPEC,
     EMAIL,
     EMAIL_KINDS,
@@ -54,6 +55,13 @@ clean AS (
            {_email("email")} AS email, phone
     FROM raw)"""
 
+_IN_FILES = f"""{_CUSTOMERS},
+ids AS (SELECT customer_id AS own, {CUSTOMER_ID} AS text_id FROM raw),
+files AS (SELECT TRY_CAST(text_id AS BIGINT) AS customer_id, first_name, last_name, email, phone, text_id, own
+          FROM clean JOIN ids ON customer_id = own)"""
+# Empty cells of files are null, also in what is taken as it is.
+_FILE_PHONE = "nullif(phone, '') AS phone"
+
 _STAMP = f"TIMESTAMP '{RUN_TIME}' AS processed_timestamp, '{JOB}' AS processed_by_job, '{RUN_ID}' AS job_run_id"
 
 _PRODUCTS = f"""products AS (
@@ -180,6 +188,8 @@ ORACLES = {
     "deliver_batches": f"""WITH {_DELIVERED}
         SELECT batch_number, records, batch_number % 4 <> 0 AS ok,
                CASE WHEN batch_number % 4 = 0 THEN 'rejected' END AS error FROM status""",
+    "deliver_resumed": f"""WITH {_DELIVERED}
+        SELECT batch_number, records, true AS ok, CAST(NULL AS VARCHAR) AS error, batch_number % 4 <> 0 AS resumed FROM status""",
     "delivery_summary": f"WITH {_DELIVERED} {_SUMMARY}",
     "run_report": f"""SELECT 'job_success' AS event_type, 'dev' AS environment, '{JOB}' AS job_name,
         '{RUN_ID}' AS job_run_id, 'scheduled' AS trigger_type, count(*) AS records_processed,
@@ -207,6 +217,18 @@ ORACLES = {
     "customers_silver": f"""WITH {_CUSTOMERS}
         SELECT customer_id, first_name, last_name, email, phone, {_full("first_name", "last_name")} AS full_name,
                {_STAMP} FROM clean""",
+    "customers_files": f"""WITH {_IN_FILES}
+        SELECT customer_id, first_name, last_name, email, {_FILE_PHONE}, {_full("first_name", "last_name")} AS full_name,
+               {_STAMP} FROM files WHERE customer_id IS NOT NULL""",
+    "customers_rescued": f"""WITH {_IN_FILES}
+        SELECT text_id AS rescued_id, customer_id, raw.first_name, raw.last_name, nullif(raw.email, '') AS email,
+               nullif(raw.phone, '') AS phone, 1 AS cells
+        FROM (SELECT text_id, own, customer_id FROM files WHERE customer_id IS NULL) AS odd
+        JOIN (SELECT customer_id AS raw_id, first_name, last_name, email, phone FROM raw) AS raw ON raw_id = own""",
+    "customers_incremental": f"""WITH {_IN_FILES}
+        SELECT customer_id, first_name, last_name, email, {_FILE_PHONE}, {_full("first_name", "last_name")} AS full_name,
+               {_STAMP}, CAST(CASE WHEN own % 3 = 0 THEN 0 ELSE 1 END AS BIGINT) AS batch_id
+        FROM files WHERE customer_id IS NOT NULL""",
     "products_bronze": f"""WITH {_PRODUCTS}
         SELECT id, name, category, price, description,
                CASE WHEN price < 10 THEN 'budget' WHEN price < 50 THEN 'mid_range' ELSE 'premium' END AS price_category,

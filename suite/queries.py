@@ -13,17 +13,17 @@ from lakejobs.functions.categories import age_group, categorize_amount
 from lakejobs.functions.json_cells import record_cell
 from lakejobs.functions.metadata import add_processing_metadata
 from lakejobs.operators.bounded import BroadcastLimit
-from lakejobs.operators import batching, notifications, quality, routing, selection
+from lakejobs.operators import batching, ledger, notifications, quality, routing, selection
 from lakejobs.plans.customers import CustomersJob, clean_customers
 from lakejobs.plans.export import export_rows
 from lakejobs.plans.products import ProductsJob, enrich_products
-from lakejobs.session import fresh_path
+from lakejobs.session import fresh_path, stage
 from lakejobs.sinks.tables import preview, table_of_key, write_table
 from lakejobs.sources.api_pages import assemble_pages, parse_response
 from lakejobs.sources.catalog import query_view, read_table, table_columns
-from lakejobs.sources.files import data_path, format_of_key, read_files, read_first_found
+from lakejobs.sources.files import RESCUED, data_path, format_of_key, read_files, read_first_found
 from lakejobs.streaming.dispatch import dispatch_stream
-from lakejobs.streaming.ingest import ingest_new_files, stream_files
+from lakejobs.streaming.ingest import ingest_new_files, run_on_new_files, stream_declared, stream_files
 from suite import inputs
 from suite.inputs import AS_OF, JOB, RUN_ID, RUN_TIME, table
 
@@ -157,6 +157,23 @@ def deliver_batches(spark: SparkSession, sf: str) -> DataFrame:
     return _delivered(spark, sf)
 
 
+def deliver_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """The second run of an export, the first of which had each fourth batch rejected; no other batch may come again."""
+
+    def only_missing(payload: str) -> None:
+        import json
+
+        if json.loads(payload)["batch_number"] % 4:
+            raise RuntimeError("sent twice")
+
+    folder = fresh_path(spark, "ledger")
+    folder = folder if "://" in folder else f"file://{folder}"
+    payloads = stage(batching.batch_payloads(batching.batch_records(table(spark, sf, "events"), ["event_id"])), "payloads")
+    ledger.deliver_resumable(payloads, _sender(), folder, "export-1", batching.ONCE)
+    ledger.close_ledger(spark, folder, "export-1")
+    return ledger.deliver_resumable(payloads, only_missing, folder, "export-1", batching.Retry(2, 0.0))
+
+
 def delivery_summary(spark: SparkSession, sf: str) -> DataFrame:
     return batching.delivery_summary(_delivered(spark, sf))
 
@@ -166,6 +183,52 @@ class _DerivedCustomers(CustomersJob):
         return inputs.customers(self.spark, self.base_path)
 
 
+def _customer_files(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Comma-separated files; some ids are larger than an integer, some are no numbers."""
+    texts = rows.withColumn("customer_id", F.expr(inputs.CUSTOMER_ID)).select(inputs.CUSTOMER_COLUMNS)
+    writer = texts.write.mode(mode).option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def _stamped(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("processed_timestamp", F.col("processed_timestamp").cast("timestamp_ntz"))
+
+
+def _job_on_files(spark: SparkSession, sf: str) -> CustomersJob:
+    path = fresh_path(spark, "customer-files")
+    _customer_files(inputs.customers(spark, sf), path)
+    config = JobConfig(JOB, RUN_ID, env="dev", log_level="ERROR", enable_report=False)
+    job = CustomersJob(config, spark, base_path=path, table_path=fresh_path(spark, "customers"), run_time=inputs.run_time())
+    # Each run has tables of its own.
+    job.entity = _unique("customers")
+    job.run()
+    return job
+
+
+def customers_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The table that the whole customer job writes from files."""
+    return _stamped(spark.table(_job_on_files(spark, sf).table))
+
+
+def customers_rescued(spark: SparkSession, sf: str) -> DataFrame:
+    """What the same job sets aside, with the text that is no number."""
+    rows = spark.table(_job_on_files(spark, sf).quarantine_table)
+    return rows.select(F.col(RESCUED)["customer_id"].alias("rescued_id"), "customer_id", "first_name", "last_name", "email", "phone", F.size(RESCUED).alias("cells"))
+
+
+def customers_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs of the job over a folder of files that grows between the first two."""
+    path, sink, checkpoint = (fresh_path(spark, x) for x in ("customer-files", "customers", "customers-checkpoint"))
+    config = JobConfig(JOB, RUN_ID, env="dev", log_level="ERROR", enable_report=False)
+    rows = inputs.customers(spark, sf)
+    for part in (rows.filter("customer_id % 3 = 0").coalesce(1), rows.filter("customer_id % 3 > 0").coalesce(1), None):
+        if part is not None:
+            _customer_files(part, path, "append")
+        job = CustomersJob(config, spark, run_time=inputs.run_time())
+        run_on_new_files(job, stream_declared(spark, path, pattern="*.csv"), sink, checkpoint, timeout=600)
+    return _stamped(spark.read.option("basePath", sink).parquet(sink)).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
 def run_report(spark: SparkSession, sf: str) -> DataFrame:
     reports = _unique("job_runs")
     job = _DerivedCustomers(
@@ -511,6 +574,7 @@ QUERIES = {
     "preview": preview_orders,
     "table_from_key": table_from_key,
     "deliver_batches": deliver_batches,
+    "deliver_resumed": deliver_resumed,
     "delivery_summary": delivery_summary,
     "run_report": run_report,
     "run_report_failure": run_report_failure,
@@ -524,6 +588,9 @@ QUERIES = {
     "add_metadata": add_metadata,
     "json_cells": json_cells,
     "customers_silver": customers_silver,
+    "customers_files": customers_files,
+    "customers_rescued": customers_rescued,
+    "customers_incremental": customers_incremental,
     "products_bronze": products_bronze,
     "group_count": group_count,
     "quality_base": quality_base,

@@ -344,7 +344,7 @@ def test_customers_are_read_by_header_and_parsed_once(spark, tmp_path):
     write_customers(tmp_path / "a.csv", FIXTURE)
     job = job_of(CustomersJob, spark, tmp_path, base_path=str(tmp_path))
     found = job.extract()
-    assert found.dtypes[0] == ("customer_id", "int")
+    assert found.dtypes[0] == ("customer_id", "bigint")
     # What comes later reads the staged copy.
     assert "/lakejobs/" in found.inputFiles()[0] and "a.csv" not in found._jdf.queryExecution().toString()
     write_customers(tmp_path / "b.csv", [("x@y.co", "A", "B", 7, None)], header="email,first_name,last_name,customer_id,phone")

@@ -6,9 +6,9 @@
 3. In each bucket, nodes are paired with two leaders (the smallest node, and one drawn per bucket), so
    pairs grow with the bucket and not with its square. Sets of paired nodes only are made again from
    the texts, and pairs are confirmed on them. Links are joined to components.
-4. Buckets that still hold several components, and more nodes than two leaders cover, are compared in
-   full: blocks of a bucket meet in pairs of blocks, each task compares the nodes of different
-   components and hands back links that connect something new. No pair of a bucket is left out.
+4. Of buckets that still hold several components, the nodes' shingles are put in order of how few of these nodes have
+   them. Alike sets have a common one among the first ones of both, so nodes of different components meet there: an
+   exact filter, whose pairs are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lakejobs.llm.components import connected_components
 from lakejobs.llm.shared import chunks, keep, text_bytes
@@ -34,16 +34,14 @@ class MinMaxParams:
     """Shingle width, the least similarity in percent, and the signature's shape.
 
     With 25 bands of 5 values, a pair at 80 % shares a bucket with probability 0.99995, one at 90 % with
-    more than 1 - 1e-9. `block` nodes of a bucket are compared at once where all pairs are needed. Ids of
-    documents whose sets are needed are broadcast up to `broadcast_ids`, counted first; beyond, texts are
-    shuffled to meet them.
+    more than 1 - 1e-9. Ids of documents whose sets are needed are broadcast up to `broadcast_ids`, counted
+    first; beyond, texts are shuffled to meet them.
     """
 
     width: int = 5
     percent: int = 80
     bands: int = 25
     rows: int = 5
-    block: int = 128
     broadcast_ids: int = 1_000_000
     seed: int = 7
 
@@ -151,68 +149,54 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_b.select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long")
 
 
-def _compare_block(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links between nodes of different components in two blocks; of links that connect the same, one."""
-    rows = frame.drop_duplicates("node").sort_values("node")
-    sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
-    nodes, side = rows["node"].tolist(), rows["side"].tolist()
-    same = frame["one_block"].iloc[0]
-    roots = {c: c for c in rows["component"].tolist()}
-    home = rows["component"].tolist()
+def _tokens(open_nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, component, n, token): a row for each shingle of the nodes."""
 
-    def root(x: int) -> int:
-        while roots[x] != x:
-            roots[x] = x = roots[roots[x]]
-        return x
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = np.frombuffer(batch.column("shingles")[i].as_buffer(), np.int64)
+                rows = pa.array(np.full(len(own), i))
+                columns = [batch.column(x).take(rows) for x in ("node", "component")]
+                columns += [pa.array(np.full(len(own), len(own))), pa.array(own)]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "component", "n", "token"])
+
+    filled = open_nodes.join(sets, "node").select("node", "component", "shingles")
+    return filled.mapInArrow(run, "node long, component long, n long, token long")
 
-    found = []
-    for i in range(len(nodes)):
-        for j in range(i + 1, len(nodes)):
-            if (same or side[i] != side[j]) and root(home[i]) != root(home[j]) and linked(sets[i], sets[j], percent):
-                roots[root(home[i])] = root(home[j])
-                found.append((nodes[i], nodes[j]))
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
+def _rest(members: DataFrame, links: DataFrame, pairs: DataFrame, sets: DataFrame, params: MinMaxParams) -> DataFrame | None:
+    """Further links, of nodes in buckets that two leaders did not settle; None if there is no such bucket.
 
-def _rest(members: DataFrame, links: DataFrame, sets: DataFrame, params: MinMaxParams) -> DataFrame | None:
-    """Further links, from buckets that two leaders did not settle; None if there is no such bucket."""
+    Of two sets that are alike enough, the shingles that are rarest among these nodes' hold a common one: of n, the first
+    n - ceil(n * percent / 100) + 1. Nodes with a common one there, and of different components, are pairs to confirm.
+    """
     found = connected_components(links)
     placed = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    open_keys = (
-        placed.groupBy("key")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("print"),
-        )
-        .filter("n > 2 AND low <> high")
-        # Bands that put the same nodes together need one comparison.
-        .groupBy("n", "print")
-        .agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("n") / params.block).alias("blocks"))
-    )
-    waiting = stage(placed.join(open_keys, "key"), "minhash-open")
-    if waiting.isEmpty():
+    held = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_keys = held.filter("low <> high").select("key")
+    open_nodes = stage(placed.join(open_keys, "key", "left_semi").select("node", "component").distinct(), "minhash-open")
+    if open_nodes.isEmpty():
         return None
-    own = F.pmod(F.xxhash64("node", F.lit(params.seed)), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    paired = (
-        waiting.withColumn("own", own)
-        .withColumn("other", other)
-        .select(
-            "key",
-            "node",
-            "component",
-            F.col("own").alias("side"),
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-        )
-        .withColumn("one_block", F.col("low") == F.col("high"))
-    )
-    filled = paired.join(sets, "node")
-    percent = params.percent
-    return filled.groupBy("key", "low", "high").applyInPandas(lambda x: _compare_block(x, percent), "a long, b long")
+    tokens = stage(_tokens(open_nodes, sets), "minhash-tokens")
+    # A shingle that one node has alone comes first and meets nothing.
+    shared = tokens.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1")
+    known = tokens.join(shared, "token")
+    rarest = Window.partitionBy("node").orderBy("holders", "token")
+    alone = F.col("n") - F.count("*").over(Window.partitionBy("node"))
+    ranked = known.withColumns({"at": F.row_number().over(rarest) + alone, "least": F.ceil(F.col("n") * params.percent / 100)})
+    prefixes = stage(ranked.filter("at <= n - least + 1").select("token", "node", "component", "n"), "minhash-prefixes")
+    # Of a shingle's holders, those of the component that most of them are in meet only the others.
+    per = prefixes.groupBy("token", "component").agg(F.count("*").alias("held"))
+    main = per.groupBy("token").agg(F.max_by("component", F.struct("held", "component")).alias("main"), F.count("*").alias("parts"))
+    waiting = prefixes.join(main.filter("parts > 1").select("token", "main"), "token")
+    outside = waiting.filter("component <> main").select("token", "node", "component", "n")
+    whole = waiting.select("token", *(F.col(x).alias(f"{x}2") for x in ("node", "component", "n")))
+    fits = 100 * F.least("n", "n2") >= params.percent * F.greatest("n", "n2")
+    met = outside.join(whole, "token").filter((F.col("component") != F.col("component2")) & fits)
+    met = met.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")).distinct()
+    # What the leaders' pairs have shown already is not asked again.
+    return _confirmed(met.join(pairs, ["a", "b"], "left_anti"), sets, params.percent)
 
 
 def near_duplicates(docs: DataFrame, params: MinMaxParams | None = None) -> DataFrame:
@@ -255,7 +239,7 @@ def near_duplicates(docs: DataFrame, params: MinMaxParams | None = None) -> Data
         named = F.broadcast(named) if few else named
         sets = stage(_sets(docs.join(named, "doc_id", "left_semi"), params), "minhash-sets")
         links = stage(_confirmed(pairs, sets, params.percent), "minhash-links")
-        more = _rest(members.select("key", "node"), links, sets, params)
+        more = _rest(members.select("key", "node"), links, pairs, sets, params)
         components = connected_components(links if more is None else stage(links.union(more), "minhash-links"))
         classes = nodes.select("digest", "node").join(components, "node", "left")
         classes = classes.select("digest", F.coalesce("component", "node").alias("component_id"))

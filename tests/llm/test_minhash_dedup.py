@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 from brute import components, shingle_links
 from lakejobs.llm.components import connected_components
-from lakejobs.llm.minhash_dedup import MinMaxParams, near_duplicates
+from lakejobs.llm.minhash_dedup import MinMaxParams, _rest, near_duplicates
 
 
 def result(df):
@@ -37,11 +38,25 @@ def test_families_of_every_closeness(documents):
     texts = [text for changes in (1, 2, 3, 4, 5, 8) for text in family(rng, 30, changes)]
     rng.shuffle(texts)
     texts = list(enumerate(texts))
-    # Small blocks: groups meet in several pairs of blocks.
-    got = near_duplicates(documents(texts), MinMaxParams(width=4, block=8))
+    got = near_duplicates(documents(texts), MinMaxParams(width=4))
     assert result(got) == expected(texts, 4)
 
 
+def test_nodes_of_one_bucket_meet_by_their_rare_shingles(spark):
+    """One bucket of many components: candidates grow with the nodes, and all links are found."""
+    rng = np.random.default_rng(4)
+    common = rng.integers(1, 1 << 60, 30)
+    sets = []
+    for i in range(400):
+        own = np.unique(np.concatenate([common, rng.integers(1, 1 << 60, 70)]))
+        sets += [(2 * i, own), (2 * i + 1, np.unique(np.concatenate([own[:-5], rng.integers(1, 1 << 60, 5)])))]
+    shingles = spark.createDataFrame([(i, bytearray(x.astype(np.uint64).tobytes())) for i, x in sets], "node long, shingles binary")
+    members = spark.createDataFrame([(1, i) for i, _ in sets], "key long, node long")
+    none = spark.createDataFrame([], "a long, b long")
+    links = _rest(members, none, none, shingles, MinMaxParams())
+    assert sorted((r.a, r.b) for r in links.collect()) == [(2 * i + 1, 2 * i) for i in range(400)]
+
+
 def test_texts_are_shuffled_when_ids_are_many(documents):
     texts = list(enumerate(family(random.Random(5), 20, 2)))
     got = near_duplicates(documents(texts), MinMaxParams(width=4, broadcast_ids=3))

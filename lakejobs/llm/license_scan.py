@@ -1,9 +1,9 @@
 """Find licence texts by matching statistics over a generalised suffix automaton of licence words.
 
 The templates are numbers of words in one automaton. A text is streamed through it word by word, which
-gives at each word the longest stretch ending there that some template holds as well. Long stretches
-are chained: those of one template, in order in both, join to a span that says how much of the
-template the text covers.
+gives at each word the longest stretch ending there that some template holds as well, and by suffix links
+the shorter ones that other templates, or other places, hold. Long stretches are chained: of each template, the
+stretches in the same order in both that cover the most join to a span that says how much of it the text covers.
 """
 
 from __future__ import annotations
@@ -31,7 +31,9 @@ TEMPLATES = {
         following conditions: The above copyright notice and this permission notice shall be included in all
         copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY
         KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A
-        PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+        PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+        CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF
+        OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
     "apache": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
         compliance with the License. You may obtain a copy of the License at
         http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing,
@@ -47,10 +49,29 @@ TEMPLATES = {
         provided that the following conditions are met: Redistributions of source code must retain the above
         copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form
         must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
-        documentation and/or other materials provided with the distribution.""",
+        documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE
+        COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED
+        TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT
+        SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY,
+        OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF
+        USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+        CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+        THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
         hereby granted, provided that the above copyright notice and this permission notice appear in all
-        copies.""",
+        copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+        INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+        ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE,
+        DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
+        CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors
+        be held liable for any damages arising from the use of this software. Permission is granted to anyone to use
+        this software for any purpose, including commercial applications, and to alter it and redistribute it freely,
+        subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not
+        claim that you wrote the original software. If you use this software in a product, an acknowledgment in the
+        product documentation would be appreciated but is not required. 2. Altered source versions must be plainly
+        marked as such, and must not be misrepresented as being the original software. 3. This notice may not be
+        removed or altered from any source distribution.""",
     "mpl": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
         MPL was not distributed with this file, You can obtain one at""",
     "cc-by": """This work is licensed under a Creative Commons Attribution 4.0 International License.""",
@@ -73,13 +94,13 @@ class SuffixAutomaton:
     next: list[dict[int, int]] = field(default_factory=lambda: [{}])
     link: list[int] = field(default_factory=lambda: [-1])
     length: list[int] = field(default_factory=lambda: [0])
-    ends: list[dict[int, int]] = field(default_factory=lambda: [{}])
+    ends: list[set[tuple[int, int]]] = field(default_factory=lambda: [set()])
 
     def _state(self, length: int, steps: dict[int, int], link: int) -> int:
         self.next.append(dict(steps))
         self.link.append(link)
         self.length.append(length)
-        self.ends.append({})
+        self.ends.append(set())
         return len(self.next) - 1
 
     def _split(self, p: int, word: int, q: int) -> int:
@@ -91,7 +112,7 @@ class SuffixAutomaton:
         return copy
 
     def add(self, number: int, words: list[int]) -> None:
-        """Insert a sequence; `ends` gets, for its prefixes' states, where in sequence `number` they end."""
+        """Insert a sequence; `ends` gets, for its prefixes' states, (`number`, the place of their last word)."""
         last = 0
         for at, word in enumerate(words):
             if (q := self.next[last].get(word)) is not None:
@@ -105,15 +126,13 @@ class SuffixAutomaton:
                     q = self.next[p][word]
                     self.link[state] = q if self.length[q] == self.length[p] + 1 else self._split(p, word, q)
                 last = state
-            self.ends[last].setdefault(number, at)
+            self.ends[last].add((number, at))
 
     def spread(self) -> None:
         """Hand each state's ends down to the states it is a suffix of; call once, after the last `add`."""
         for state in sorted(range(1, len(self.next)), key=self.length.__getitem__, reverse=True):
-            for number, at in self.ends[state].items():
-                kept = self.ends[self.link[state]].setdefault(number, at)
-                if at < kept:
-                    self.ends[self.link[state]][number] = at
+            if self.link[state]:
+                self.ends[self.link[state]] |= self.ends[state]
 
     def statistics(self, words: list[int]) -> Iterator[tuple[int, int]]:
         """After each word: the state and the length of the longest stretch that ends here."""
@@ -170,35 +189,67 @@ class Scanner:
             if len(run) < 2:
                 continue
             first = int(run[0])
-            steps = list(self.automaton.statistics(numbers[run].tolist()))
-            for i, (state, length) in enumerate(steps):
+            # By template and place against the text: where a stretch that goes on began.
+            going: dict[tuple[int, int], int] = {}
+            for i, (state, length) in enumerate(self.automaton.statistics(numbers[run].tolist()), first):
                 for phrase in self.phrases[state]:
                     if length >= self.sizes[phrase]:
-                        places.append((first + i - self.sizes[phrase] + 1, phrase))
-                ended = i + 1 == len(steps) or steps[i + 1][1] <= length
-                if length >= self.stretch and ended:
-                    for template, end in self.automaton.ends[state].items():
-                        if template < self.base_from:
-                            stretches.setdefault(template, []).append((first + i - length + 1, end - length + 1, length))
+                        places.append((i - self.sizes[phrase] + 1, phrase))
+                if going or length >= self.stretch:
+                    now = self._ending(state, length, i)
+                    self._close(going, now, i, stretches)
+                    going = now
+            self._close(going, {}, int(run[-1]) + 1, stretches)
         found = []
         for template, parts in stretches.items():
-            found.extend(self._chain(template, sorted(parts)))
+            found.extend(self._chains(template, sorted(parts)))
         return {"places": sorted(places), "spans": sorted(found)}
 
-    def _chain(self, template: int, parts: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, float]]:
-        """(start, end, template, covered share): stretches in the same order in both join, gaps allowed."""
-        chain: list[int] = []
-        for start, at, length in parts:
-            gap = self.sizes[template]
-            if chain and chain[3] <= at + length and chain[1] <= start + length and start - chain[1] <= gap:
-                fresh = min(length, at + length - chain[3], start + length - chain[1])
-                chain[1], chain[3], chain[2] = start + length, at + length, chain[2] + max(fresh, 0)
-            else:
-                if chain:
-                    yield chain[0], chain[1], template, chain[2] / self.sizes[template]
-                chain = [start, start + length, length, at + length]
-        if chain:
-            yield chain[0], chain[1], template, chain[2] / self.sizes[template]
+    def _ending(self, state: int, length: int, i: int) -> dict[tuple[int, int], int]:
+        """The stretches that end with word i: by template and place (of the text's word 0), the first word."""
+        now: dict[tuple[int, int], int] = {}
+        while length >= self.stretch:
+            for template, end in self.automaton.ends[state]:
+                if template < self.base_from:
+                    now.setdefault((template, end - i), i - length + 1)
+            state = self.automaton.link[state]
+            length = self.automaton.length[state]
+        return now
+
+    @staticmethod
+    def _close(going: dict[tuple[int, int], int], now: dict[tuple[int, int], int], i: int, stretches: dict) -> None:
+        for (template, shift), start in going.items():
+            if (template, shift) not in now:
+                stretches.setdefault(template, []).append((start, start + shift, i - start))
+
+    def _chains(self, template: int, parts: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, float]]:
+        """(start, end, template, covered share) of the chains of one template's stretches, the best one whole.
+
+        In a chain, starts grow in text and template, a step leaps over at most the template's length of text, and
+        words that two stretches share count once. Chains are taken by what they cover, the largest first;
+        one that runs into a stretch already taken is cut there, and left out if less than `stretch` words remain.
+        """
+        size = self.sizes[template]
+        covers, before = [length for _, _, length in parts], [-1] * len(parts)
+        nearest = 0
+        for k, (start, at, length) in enumerate(parts):
+            # No stretch is longer than the template.
+            while parts[nearest][0] < start - 2 * size:
+                nearest += 1
+            for j in range(nearest, k):
+                start2, at2, length2 = parts[j]
+                shared = max(0, start2 + length2 - start, at2 + length2 - at)
+                if start2 < start and at2 < at and shared < length and start - start2 - length2 <= size:
+                    if covers[j] + length - shared > covers[k]:
+                        covers[k], before[k] = covers[j] + length - shared, j
+        taken = [False] * len(parts)
+        for last in sorted(range(len(parts)), key=lambda k: (-covers[k], parts[k])):
+            k, head = last, -1
+            while k >= 0 and not taken[k]:
+                taken[k], head, k = True, k, before[k]
+            covered = covers[last] - (covers[k] if k >= 0 else 0)
+            if head >= 0 and (k < 0 or covered >= self.stretch):
+                yield parts[head][0], parts[last][0] + parts[last][2], template, covered / size
 
 
 SCHEMA = (
@@ -210,8 +261,8 @@ SCHEMA = (
 def scan_licenses(docs: DataFrame, stretch: int = 6, cover: float = 0.5) -> DataFrame:
     """One row per document: counts and places of the base phrases, labels, score, and covered spans.
 
-    A span joins stretches of at least `stretch` words of one template; its label counts when it covers a
-    share of `cover` of the template. `score` is the largest share that any span covers, at most 1; 0
+    A span joins stretches of at least `stretch` words of one template in the order they have there; its label
+    counts when it covers a share of `cover` of the template. `score` is the largest share that any span covers, at most 1; 0
     without spans. `docs` needs `doc_id` and `text`; other columns are ignored. A null or wordless text has
     no labels, null places and score 0. Repeated rows give repeated results, a null `doc_id` stays null.
     """

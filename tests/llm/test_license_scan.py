@@ -1,7 +1,11 @@
+import itertools
 import random
 
+import numpy as np
+import pytest
 from brute import alphanumeric
-from lakejobs.llm.license_scan import BASE_PHRASES, TEMPLATES, SuffixAutomaton, scan_licenses
+from lakejobs.llm.license_scan import BASE_PHRASES, TEMPLATES, Scanner, SuffixAutomaton, scan_licenses
+from lakejobs.llm.words import hash_word
 
 
 def base(text):
@@ -62,11 +66,84 @@ def test_matching_statistics_are_the_longest_stretches():
         longest = next(n for n in range(i + 1, -1, -1) if n == 0 or tuple(text[i + 1 - n : i + 1]) in stretches)
         assert length == longest
         if length:
-            for number, end in automaton.ends[state].items():
-                assert sequences[number][end - length + 1 : end + 1] == text[i + 1 - length : i + 1]
-            holders = {k for k, x in enumerate(sequences) if any(x[j : j + length] == text[i + 1 - length : i + 1] for j in range(len(x)))}
-            assert set(automaton.ends[state]) == holders
+            here = text[i + 1 - length : i + 1]
+            places = {(k, j + length - 1) for k, x in enumerate(sequences) for j in range(len(x)) if x[j : j + length] == here}
+            assert automaton.ends[state] == places
 
 
 def test_empty_table(documents):
     assert scan_licenses(documents([])).collect() == []
+
+
+def scanned(scanner, words):
+    return scanner.scan(scanner.known(np.array([hash_word(x) for x in words], np.uint64)))["spans"]
+
+
+def all_stretches(template, words, least):
+    """(start, place in the template, length) of all that cannot be made longer, word by word."""
+    out = set()
+    for shift in range(-len(words), len(template)):
+        same = [0 <= i + shift < len(template) and template[i + shift] == x for i, x in enumerate(words)]
+        for equal, group in itertools.groupby(range(len(words)), key=same.__getitem__):
+            where = list(group)
+            if equal and len(where) >= least:
+                out.add((where[0], where[0] + shift, len(where)))
+    return sorted(out)
+
+
+def best_cover(parts, size):
+    """The most words that a chain covers, over all choices of stretches."""
+    best = 0
+    for n in range(1, len(parts) + 1):
+        for chain in itertools.combinations(parts, n):
+            total, fits = chain[0][2], True
+            for (s, a, n1), (s2, a2, n2) in itertools.pairwise(chain):
+                shared = max(0, s + n1 - s2, a + n1 - a2)
+                fits = fits and s < s2 and a < a2 and shared < n2 and s2 - s - n1 <= size
+                total += n2 - shared
+            if fits:
+                best = max(best, total)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_best_chain_of_each_template(seed):
+    """Shuffled, repeated and truncated pieces of templates that share words, against all choices."""
+    rng = random.Random(seed)
+    letters = [chr(97 + k) for k in range(4 if seed % 2 else 9)]
+    templates = {str(k): " ".join(rng.choices(letters, k=rng.randrange(8, 20))) for k in range(3)}
+    words = []
+    for _ in range(4):
+        source = rng.choice(list(templates.values())).split()
+        low = rng.randrange(len(source))
+        words += source[low : low + rng.randrange(3, 20)] + ["filler"] * rng.randrange(3)
+    scanner = Scanner(templates, {}, 3, 0.5)
+    spans = scanned(scanner, words)
+    for k, template in enumerate(templates.values()):
+        template = template.split()
+        parts = all_stretches(template, words, 3)
+        own = [x for x in spans if x[2] == k]
+        assert bool(own) == bool(parts)
+        if len(parts) <= 14 and parts:
+            assert max(x[3] for x in own) == pytest.approx(best_cover(parts, len(template)) / len(template))
+        assert all(0 < x[3] <= 1 and 0 <= x[0] < x[1] <= len(words) for x in own)
+
+
+@pytest.mark.parametrize("label", sorted(TEMPLATES))
+def test_whole_texts_are_found_after_parts_of_themselves(documents, label):
+    words = alphanumeric(TEMPLATES[label])
+    whole, tail, half = " ".join(words), " ".join(words[-30:]), len(words) // 2
+    texts = [
+        f"{tail} filler {whole}",
+        f"{whole} {whole}",
+        " ".join(words[half:] + ["filler"] + words[:half]),
+        f"{whole} " * 200,
+        " ".join(words[:half] + ["filler"] + words[half:]),
+    ]
+    rows = scan_licenses(documents(texts)).orderBy("doc_id").collect()
+    for k in (0, 1, 3):
+        assert label in rows[k].labels.split(",") and rows[k].score == 1.0
+    assert len([x for x in rows[1].spans if x.label == label and x.cover == 1]) == 2
+    assert len([x for x in rows[3].spans if x.label == label and x.cover == 1]) == 200
+    assert max(x.cover for x in rows[2].spans if x.label == label) == pytest.approx(max(half, len(words) - half) / len(words), abs=0.02)
+    assert rows[4].score > 0.5

@@ -1,9 +1,10 @@
 """Text quality by compression: which of two dictionaries, of good or of bad text, makes a text smaller.
 
 A bounded sample of labelled rows is divided in two. From the texts of one half zstandard trains a
-dictionary per label. A text is compressed with both, and the difference of the two sizes over the
-text's size is what is measured. The other half says how that turns into a probability (a logistic
-curve). Model and bounds have a fixed size; every row of the table is scored from its whole text.
+dictionary per label. A text is cut into pieces, each piece is compressed by itself with both dictionaries, and the
+difference of the two sums of sizes over the text's size is what is measured: every part of a long text counts
+alike, as no piece can lean on the text before it. The other half says how that turns into a probability (a
+logistic curve). Model and bounds have a fixed size; every row of the table is scored from its whole text.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 class QualityParams:
     """Bounds of the sample: labelled rows per label, pieces of text per dictionary, characters per piece.
 
+    The curve is fitted on at most `sample_rows` texts per label as well. Texts are compressed in pieces of
+    `piece_chars` bytes; a last piece of less than half of that stays with the one before.
     Rows with `crc32(doc_id as text) mod held_out_of = 0` are never learned from. A text is
     predicted good from a score of `accept` on.
     """
@@ -49,10 +52,16 @@ class QualityModel:
         """(size with the bad dictionary - size with the good one) / size of the text; 0 for an empty text."""
         good, bad = (_compressor(x, self.params.level) for x in (self.good, self.bad))
         out = np.zeros(len(texts))
+        size = self.params.piece_chars
         for i, text in enumerate(texts):
             body = memoryview(text.as_buffer()) if text.is_valid else b""
-            if len(body):
-                out[i] = (len(bad.compress(body)) - len(good.compress(body))) / len(body)
+            more = 0
+            starts = range(0, max(len(body) - size // 2, min(len(body), 1)), size)
+            for at in starts:
+                piece = body[at : len(body) if at == starts[-1] else at + size]
+                more += len(bad.compress(piece)) - len(good.compress(piece))
+            if more:
+                out[i] = more / len(body)
         return out
 
     def score(self, texts: pa.Array) -> np.ndarray:
@@ -140,14 +149,17 @@ def train_quality(docs: DataFrame, labels: DataFrame, params: QualityParams | No
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = pa.array(model.measure(batch.column("text")), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column("label"), x], ["label", "x"])
-
-    rest = texts.filter(half == 1).select("label", "text").mapInArrow(measure, "label int, x double")
-    # As many rows as were sampled, but for repeated documents.
-    rated = rest.groupBy("label", "x").count().orderBy("label", "x").limit(4 * params.sample_rows).toArrow()
-    x, y, n = (np.asarray(rated.column(name), float) for name in ("x", "label", "count"))
-    n = np.minimum(n, 100).astype(int)
-    slope, shift = _curve(np.repeat(x, n), np.repeat(y, n))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("draw"), x], ["label", "draw", "x"])
+
+    # Rows that repeat an id can be more than were sampled; each label has its own bound, so neither crowds out the other.
+    rest = texts.filter(half == 1).select("label", F.xxhash64("text").alias("draw"), "text")
+    rated = [
+        rest.filter(F.col("label") == label).mapInArrow(measure, "label int, draw long, x double")
+        .orderBy("draw", "x").limit(params.sample_rows).select("label", "x").toArrow()
+        for label in (0, 1)
+    ]
+    x, y = (np.concatenate([np.asarray(part.column(name), float) for part in rated]) for name in ("x", "label"))
+    slope, shift = _curve(x, y)
     return QualityModel(good, bad, slope, shift, params)
 
 

@@ -82,3 +82,30 @@ def test_sample_is_bounded(labelled):
     docs, labels = labelled
     model = train_quality(docs, labels, QualityParams(sample_rows=40, pieces=30, piece_chars=100, dictionary_bytes=2000))
     assert 0 < len(model.good) <= 2000 and 0 < len(model.bad) <= 2000
+
+
+def test_long_texts_count_throughout(spark, documents):
+    """Held-out texts of one kind, joined to any length, stay on their side of the limit, whatever their order."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = train_quality(docs, labels)
+    rest = docs.join(labels, "doc_id").filter("text <> '' AND pmod(crc32(cast(doc_id AS string)), 5) = 0 AND quality IN (0, 1)")
+    texts = {0: [], 1: []}
+    for r in rest.orderBy("doc_id").select("quality", "text").collect():
+        texts[r.quality].append(r.text)
+    rows, kinds = [], []
+    for kind, parts in texts.items():
+        for chars in (5_000, 30_000, 300_000):
+            joined = " ".join(parts[k % len(parts)] for k in range(1 + chars * len(parts) // sum(map(len, parts)) + len(parts)))
+            rows.append(joined[:chars])
+            kinds.append(kind)
+    got = [r.score for r in score_quality(documents(rows), model).orderBy("doc_id").collect()]
+    assert all((score >= 0.3) == kind for score, kind in zip(got, kinds, strict=True)), got
+
+
+def test_neither_label_crowds_out_the_other(labelled, spark):
+    """Many rows under one labelled id leave the other label its place in the curve."""
+    docs, labels = labelled
+    many = docs.union(docs.filter("doc_id = 3").selectExpr("doc_id", "explode(sequence(1, 300)) AS k", "*").selectExpr("doc_id", "concat(text, ' ', k) AS text", "source", "label", "draw"))
+    model = train_quality(many, labels, QualityParams(sample_rows=30, pieces=100, dictionary_bytes=4000))
+    assert model.slope > 0

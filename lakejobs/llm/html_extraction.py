@@ -55,9 +55,11 @@ _CHROME_WORDS = frozenset(
 _NEVER_CHROME = frozenset(("html", "body", "main", "article"))
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-_TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*>|<[a-zA-Z/!][^<>]*\Z""", re.S
-)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*>""", re.S)
+# For pages in which a quote inside a tag is never closed.
+_TAG_UNQUOTED = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<[!?/][^>]*>""", re.S)
+_MARKUP = re.compile("<(?=[a-zA-Z/!?])")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _RAW}
 _ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 _SPACE = re.compile(r"\s+")
 
@@ -184,13 +186,29 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
             if stack[depth].tag in within:
                 return
 
-    at = 0
+    at, tags, closing = 0, _TAG, page.rfind(">")
     while at < len(page):
-        match = _TAG.search(page, at)
+        opening = _MARKUP.search(page, at)
         if not stack[-1].skipped:
-            parts.append(page[at : match.start() if match else len(page)])
-        if match is None:
+            parts.append(page[at : opening.start() if opening else len(page)])
+        if opening is None:
             break
+        at = opening.start()
+        if at > closing and not page.startswith("<!--", at):
+            # Nothing is closed any more: what looks like a tag is left out as far as the next.
+            at = page.find("<", at + 1)
+            if at < 0:
+                break
+            continue
+        match = tags.match(page, at)
+        if match is None and tags is _TAG:
+            # Some quote is open to the end, which is looked for once in a page.
+            tags = _TAG_UNQUOTED
+            match = tags.match(page, at)
+        if match is None:
+            parts.append("<")
+            at += 1
+            continue
         at = match.end()
         if match[2] is None:
             continue
@@ -205,7 +223,7 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
                 flush()
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
         if tag in _BLOCK:
@@ -321,16 +339,21 @@ def style_nodes(pages: DataFrame, params: StyleParams) -> DataFrame:
         F.any_value("above").alias("above"),
     )
     share = F.when(F.col("m") > 1, F.col("spread") / (F.col("m") * F.log("m"))).otherwise(F.lit(0.0))
-    rated = sums.select("host", "node", "kind", "m", "above", (1 - share).alias("varies"))
-    below = (
-        rated.filter("kind = 0")
-        .select("host", "m", "varies", F.explode("above").alias("node"))
-        .groupBy("host", "node")
-        .agg((F.sum(F.col("varies") * F.col("m")) / F.sum("m")).alias("content"), F.sum("m").alias("pages"))
+    text = F.col("kind") == 0
+    # Texts count for all nodes above, presentations for their own, in one pass over the parsed pages.
+    nodes = F.when(text, F.col("above")).otherwise(F.array("node"))
+    rated = sums.select("host", "kind", "m", (1 - share).alias("varies"), F.explode(nodes).alias("node"))
+    pages_below = F.sum(F.when(text, F.col("m")))
+    joined = (
+        rated.groupBy("host", "node")
+        .agg(
+            (F.sum(F.when(text, F.col("varies") * F.col("m"))) / pages_below).alias("content"),
+            F.coalesce(F.max(F.when(~text, F.col("varies"))), F.lit(0.0)).alias("shown"),
+            pages_below.alias("pages"),
+        )
+        .filter(F.col("pages") >= params.pages)
     )
-    shown = rated.filter("kind = 1").select("host", "node", F.col("varies").alias("shown"))
-    importance = F.lit(params.mix) * F.col("content") + F.lit(1 - params.mix) * F.coalesce("shown", F.lit(0.0))
-    joined = below.join(shown, ["host", "node"], "left").filter(F.col("pages") >= params.pages)
+    importance = F.lit(params.mix) * F.col("content") + F.lit(1 - params.mix) * F.col("shown")
     return joined.select("host", "node", importance.alias("importance"), "pages")
 
 
@@ -344,7 +367,8 @@ def extract_text(pages: DataFrame, params: StyleParams | None = None) -> DataFra
     `pages` needs `page_id`, `url` and `html`; other columns are ignored. A null or empty page has the text
     ''. Pages without a readable host, or with a null url, are one site. Blocks are what block elements
     divide; in a block, white space is one space; blocks are joined by newlines. Character references are
-    decoded. Markup that breaks off is left out. Repeated rows each come out and count as pages of their own.
+    decoded. A tag that no '>' ends is left out up to the next '<'; where a quote in a tag is never closed, tags end at
+    their first '>'. Time grows with a page's length, however broken. Repeated rows each come out and count as pages of their own.
     """
     params = params or StyleParams()
     sited = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))

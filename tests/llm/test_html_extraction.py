@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from lakejobs.llm.html_extraction import StyleParams, extract_text, main_text, style_nodes, host_of
 from pyspark.sql import functions as F
@@ -91,3 +93,19 @@ def test_empty_table(spark):
 )
 def test_names_do_not_take_the_text(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize("end", ["", "<p>end</p>"])
+@pytest.mark.parametrize("broken", ["a<", "<div class='", '<p a="', "<p ", "</", "<!", "<!-", "<a '\"><b '>", "< ", "<?x", "<div class='x", "<a \"'\" '"])
+def test_broken_markup_takes_time_in_proportion(broken, end):
+    page = "<p>start</p>" + broken * (2_000_000 // len(broken)) + end
+    started = time.process_time()
+    text = main_text(page)
+    assert time.process_time() - started < 4
+    assert text.startswith("start")
+
+
+def test_broken_markup_is_no_text():
+    assert main_text("<p>x</p>" + "<p " * 1000) == "x"
+    assert main_text("<p>x</p>" + "<div class='" * 1001 + "<p>end</p>").endswith("end")
+    assert main_text("<p>x</p><div class='a\"><p>end</p>") == "x\nend"

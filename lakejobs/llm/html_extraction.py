@@ -49,9 +49,14 @@ _CHROME_ROLES = frozenset("navigation banner contentinfo complementary search fo
 _CHROME_WORDS = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent "
     "cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices "
-    "notification overlay pager pagination popup promo promoted promotion related respond search share sharing sidebar "
+    "notification overlay pager pagination popup promo promoted promotion related replies reply respond search share sharing sidebar "
     "signin signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+# Words that say where a part stands or what it looks like, beside one of those above.
+_PLACE_WORDS = frozenset(
+    "area block bottom box button buttons container global inner left link links list main mobile outer panel post posts "
+    "primary reader right secondary section site thread top user wrap wrapper".split()
+)
 _NEVER_CHROME = frozenset(("html", "body", "main", "article"))
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -123,11 +128,24 @@ def _is_chrome(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
 
 
 def _is_named(tag: str, attributes: dict[str, str]) -> bool:
-    """Whether a whole class or id is made of words for chrome alone; headings and parts of names do not count."""
-    if not attributes or tag in _NEVER_CHROME or tag in _HEADINGS:
+    """Whether a whole class or id names chrome: words for it alone, or with words for its place.
+
+    Headings and parts of names do not count. A header is one of the site only if its name says so, as articles
+    and posts have their own. Of articles, only those named as comments count.
+    """
+    if not attributes or tag in _HEADINGS or (tag in _NEVER_CHROME and tag != "article"):
         return False
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
-    return any(_CHROME_WORDS.issuperset(re.split("[-_]+", name.strip("-_"))) for name in names)
+    return any(_names_chrome(frozenset(re.split("[-_]+", name.strip("-_"))), tag) for name in names)
+
+
+def _names_chrome(words: frozenset[str], tag: str) -> bool:
+    known = words & _CHROME_WORDS
+    if tag == "article" and not words & {"comment", "comments", "reply", "replies"}:
+        return False
+    if "header" in known and len(words) > 1:
+        return words <= {"header", "site", "main", "top", "global"} or words <= _CHROME_WORDS
+    return bool(known) and words <= _CHROME_WORDS | _PLACE_WORDS
 
 
 def _settle_names(blocks: list[Block], elements: list[Element]) -> None:

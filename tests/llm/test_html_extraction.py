@@ -109,3 +109,31 @@ def test_broken_markup_is_no_text():
     assert main_text("<p>x</p>" + "<p " * 1000) == "x"
     assert main_text("<p>x</p>" + "<div class='" * 1001 + "<p>end</p>").endswith("end")
     assert main_text("<p>x</p><div class='a\"><p>end</p>") == "x\nend"
+
+
+@pytest.mark.parametrize(
+    "name",
+    "comment-list user-comments comments-area site-header site-footer main-nav related-posts share-buttons ad-container sidebar-left "
+    "post-comments reader-comments comments_section topbar-menu".split(),
+)
+def test_names_with_words_for_a_place(name):
+    part = f"<div class='{name}'><p>no</p></div>"
+    assert main_text(f"<article><p>in</p>{part}<p>too</p></article>") == "in\ntoo"
+    assert main_text(f"{part}<div><p>in</p></div>") == "in"
+    assert main_text(f"<div class='{name}'><article><p>in</p></article></div>") == "in"
+    assert main_text(f"<div class='{name}'><p>all there is</p></div>") == "all there is"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p>in</p></article><article class=comment><p>no</p></article>", "in"),
+        ("<article><p>in</p></article><section class=replies><article><p>no</p></article></section>", "in"),
+        ("<article><div class=post-header><h1>Title</h1></div><p>in</p></article>", "Title\nin"),
+        ("<div class=article-header><h1>Title</h1></div><div class=post><p>in</p></div>", "Title\nin"),
+        ("<article class='post comments-open'><p>in</p></article>", "in"),
+        ("<article class=comment><p>a page of one comment</p></article>", "a page of one comment"),
+    ],
+)
+def test_comments_as_articles_and_headers_of_posts(page, text):
+    assert main_text(page) == text

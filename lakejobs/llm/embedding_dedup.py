@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lakejobs.llm.components import connected_components
 from lakejobs.llm.files import sections, write_arrays
 from lakejobs.llm.shared import keep
-from lakejobs.session import fresh_path, scratch, stage
+from lakejobs.session import scratch, stage, staging_path
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,9 @@ class GraphParams:
     """`shard` vectors in a graph, `degree` neighbours each (twice as many on the ground), beams from `beam` on.
 
     An audit compares the nearest nodes of `audit` vectors with all of the shard; below `recall`, beams double.
-    A beam that would hold more than an eighth of the shard gives way to comparing with all of it.
+    Graphs of any size are searched first. Only after a beam has failed, by its audit or by holding nothing but
+    links, does one that would be wider than an eighth of the shard give way to comparing with all of it.
+    The work is dealt to at most `tasks` tasks.
     """
 
     least: float = 0.98
@@ -39,6 +41,7 @@ class GraphParams:
     beam: int = 48
     audit: int = 64
     recall: float = 0.99
+    tasks: int = 20_000
     seed: int = 11
 
 
@@ -171,7 +174,7 @@ class Graph:
             rows = np.arange(low, min(low + 256, len(queries)))
             width = beam
             while len(rows):
-                if 8 * width > len(self.vectors):
+                if 8 * width > len(self.vectors) and (width > beam or width >= len(self.vectors)):
                     sims = queries[rows] @ self.vectors.T
                     q, node = np.nonzero(sims >= least)
                     found.append(np.stack([rows[q], node]))
@@ -214,12 +217,11 @@ class Graph:
             truth[np.arange(len(sample)), home] = -np.inf
         nearest = truth.max(axis=1, initial=-np.inf)
         recall = 1.0
-        # Beams over an eighth of the shard compare with all of it.
-        while 8 * beam <= n:
+        while beam < n:
             recall = float((self._found_nearest(queries[sample], home, beam) >= nearest - 1e-9).mean()) if len(sample) else 0.0
             if recall >= params.recall:
                 break
-            beam, recall = 2 * beam, 1.0
+            beam, recall = (2 * beam if 16 * beam <= n else n), 1.0
         return *self.links(queries, own, params.least, beam), recall
 
 
@@ -284,9 +286,9 @@ def near_vectors_audited(embeddings: DataFrame, params: GraphParams | None = Non
     """
     params = params or GraphParams()
     spark = embeddings.sparkSession
-    folder = fresh_path(spark, "graphs")
     group = ["label", "size"]
     with scratch(spark):
+        folder = staging_path(spark, "graphs")
         rows = stage(_unit_vectors(embeddings), "vectors")
         usable = rows.filter("digest IS NOT NULL")
         nodes = stage(
@@ -316,8 +318,9 @@ def near_vectors_audited(embeddings: DataFrame, params: GraphParams | None = Non
         later = F.explode(F.sequence(F.col("shard"), F.col("shards") - 1))
         other = built.select(*group, F.col("shard").alias("with"), F.col("path").alias("path2"), F.col("n").alias("n2"))
         work = built.select("*", later.alias("with")).join(other, [*group, "with"])
-        # One piece of work per pair of shards, dealt out by itself.
-        work = work.repartition("label", "size", "shard", "with")
+        # One piece of work per pair of shards, few bytes each: a stated number of tasks, so that they are not put together.
+        shards = built.groupBy(*group).agg(F.first("shards").alias("s")).agg(F.sum(F.expr("s * (s + 1) / 2"))).first()[0]
+        work = work.repartition(max(1, min(int(shards or 0), params.tasks)))
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

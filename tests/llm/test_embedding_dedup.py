@@ -108,3 +108,30 @@ def test_audit_sees_broken_navigation_without_links_in_its_sample():
     assert (1, 77) in truth and set(zip(q.tolist(), node.tolist())) == truth
     q, node, _ = graph.audited(vectors, np.arange(3000), GraphParams())
     assert set(zip(q.tolist(), node.tolist())) == set(zip(*np.nonzero(vectors @ vectors.T >= 0.98)))
+
+
+def test_small_labels_are_searched_by_their_graphs(spark, monkeypatch):
+    """Of the test table, no audit fails, so that no beam gives way to comparing with all."""
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect() if r.label == 1 and r.embedding]
+    vectors = np.array([r.embedding for r in rows], float)
+    vectors = np.unique(vectors / np.linalg.norm(vectors, axis=1, keepdims=True), axis=0)
+    graph = Graph.build(vectors, GraphParams())
+    beams = []
+    inner = Graph._beam
+    monkeypatch.setattr(Graph, "_beam", lambda self, queries, starts, width, layer: beams.append(width) or inner(self, queries, starts, width, layer))
+    q, node, recall = graph.audited(vectors, np.arange(len(vectors)), GraphParams())
+    assert GraphParams().beam in beams and recall >= 0.9
+    assert set(zip(q.tolist(), node.tolist())) == {(a, b) for a, b in zip(*np.nonzero(vectors @ vectors.T >= 0.98))}
+
+
+def test_pieces_are_dealt_to_tasks_and_graphs_deleted(spark):
+    from pathlib import Path
+
+    from lakejobs.session import shared_dir
+
+    rows = clouds(3, 30, 10, 16, 0.02, 3)
+    here = Path(shared_dir(spark)) / "lakejobs" / spark.sparkContext.applicationId
+    before = {x.name for x in here.glob("*")} if here.exists() else set()
+    near_vectors(spark.createDataFrame(rows, SCHEMA), GraphParams(shard=20)).collect()
+    left = {x.name.split("-")[0] for x in here.glob("*") if x.name not in before}
+    assert "graphs" not in left and len(left) == 1

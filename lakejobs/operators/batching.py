@@ -2,67 +2,76 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lakejobs.config import BATCH_SIZE
 from lakejobs.functions.json_cells import record_json
+from lakejobs.functions.ranges import upper_place
 from lakejobs.schemas import STATUS
 from lakejobs.session import stage
 
 # monotonically_increasing_id() holds the partition above these bits and the row's place below them.
 _PLACE_BITS = 33
+# So many rows may be sorted by one task.
+_FEW = 100_000
 
 
-def _ranked(df: DataFrame, column: str) -> Column | None:
-    """A number that grows with the column, if not strictly; None for types without one."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.StringType):
-        # The first seven bytes, as text is ordered by its bytes.
-        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("bigint")
-    if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.col(column).cast("timestamp").cast("double")
-    return None
-
-
-def first_rows_cut(df: DataFrame, column: str, limit: int) -> DataFrame:
-    """A subset of `df` that holds its first `limit` rows in the order of `column`, found from that column alone.
-
-    A quantile of the column gives a bound, and a count confirms that enough rows lie below it. The bound
-    is a plain filter, so it reaches the scan. Bounds are narrowed until few rows are left besides the
-    wanted ones, or until those left share one value.
+# So many sampled rows are expected below a limit, and so many deviations above that number lies the bound.
+_SAMPLED, _DEVIATIONS = 128, 4
+
+
+def _tuple(columns: list[str]) -> Column:
+    """The sort columns as one value; it compares as rows sort: column by column, nulls first."""
+    return F.struct(*columns)
+
+
+def _up_to(df: DataFrame, order_by: list[str], last: Row) -> Column:
+    """Whether a row sorts no later than `last`; a plain bound on the leading column goes ahead of it, for the scan."""
+    bounds = [F.lit(last[name]).cast(df.schema[name].dataType).alias(name) for name in order_by]
+    leading = F.col(order_by[0])
+    below = leading.isNull() if last[order_by[0]] is None else leading.isNull() | (leading <= bounds[0])
+    return below & (_tuple(order_by) <= F.struct(*bounds)) if len(order_by) > 1 else below
+
+
+def _cut(df: DataFrame, order_by: list[str], limit: int) -> tuple[DataFrame, int | None]:
+    """`first_rows_cut`, and how many rows it keeps; None if nothing could be cut off."""
+    keys = df.select(*order_by)
+    share = min(1.0, _SAMPLED / limit)
+    wanted = limit if share == 1.0 else math.ceil(_SAMPLED + _DEVIATIONS * math.sqrt(_SAMPLED))
+    first = keys.sample(share, seed=0) if share < 1.0 else keys
+    rows = first.orderBy(*order_by).limit(wanted).collect()
+    # A NaN is no bound that files' statistics know.
+    if len(rows) < wanted or any(isinstance(x, float) and math.isnan(x) for x in rows[-1]):
+        return df, None
+    kept = df.filter(_up_to(df, order_by, rows[-1]))
+    count = kept.count()
+    return (kept, count) if count >= limit else (df, None)
+
+
+def first_rows_cut(df: DataFrame, order_by: list[str], limit: int) -> DataFrame:
+    """A subset of `df` that holds its first `limit` rows in the given order, found from the sort columns alone.
+
+    The bound is one row's whole sort tuple, so rows that share a leading value, or a stem of its text, are
+    still told apart. It is taken from a sample that holds some 128 of the wanted rows, whatever the limit and the
+    size of the table; tasks hand on no more than the sample's first rows. A count confirms that enough rows lie
+    below it; should they not, nothing is cut off. A filter on the leading column reaches the scan.
     """
-    ranked = _ranked(df, column)
-    if ranked is None:
-        return df
-    bare, values = F.col(column), df.select(column)
-    counts = values.agg(F.count(F.lit(1)).alias("all"), F.count(bare).alias("filled")).first()
-    # Nulls come first in Spark's order.
-    wanted, rows = limit - (counts["all"] - counts["filled"]), counts["filled"]
-    if wanted <= 0:
-        return df.filter(bare.isNull())
-    kept, filled = F.lit(True), values.filter(bare.isNotNull())
-    while rows > 2 * wanted:
-        share = min(1.0, 1.5 * wanted / rows + 2e-4)
-        bound = filled.agg(F.percentile_approx(ranked, share, 10_000)).scalar()
-        nearest = filled.filter(ranked <= F.lit(bound)).agg(F.max(column)).first()[0]
-        fewer = filled.filter(bare <= F.lit(nearest))
-        left = fewer.count()
-        if left < wanted or left >= rows:
-            break
-        kept, filled, rows = bare.isNull() | (bare <= F.lit(nearest)), fewer, left
-    return df.filter(kept)
+    return _cut(df, order_by, limit)[0]
+
+
+def first_rows(df: DataFrame, order_by: list[str], limit: int) -> DataFrame:
+    """The first `limit` rows. Few that are left by the cut are sorted as they are, more are numbered by ranges."""
+    kept, count = _cut(df, order_by, limit)
+    if count is not None and count <= _FEW:
+        return kept.orderBy(*order_by).limit(limit)
+    return number_rows(kept, order_by, limit, cut=False).select(*df.columns)
 
 
 def number_rows(
@@ -72,6 +81,7 @@ def number_rows(
     partitions: int | None = None,
     rn: str = "rn",
     total: str = "total",
+    cut: bool = True,
 ) -> DataFrame:
     """Add the row's number from 1 in the given order, and the number of all rows.
 
@@ -79,10 +89,10 @@ def number_rows(
     the shared folder, and numbered from the sizes of the partitions before their own: one shuffle, and no
     task sees more than its range. Equal leading sort values do not pile up, as the ranges split on all
     columns. With a `limit` only the first rows come out; what cannot be among them is cut off by a filter
-    on the leading column before anything is shuffled.
+    before anything is shuffled, unless `cut` says that this has been done.
     """
-    if limit is not None:
-        df = first_rows_cut(df, order_by[0], limit)
+    if limit is not None and cut:
+        df = first_rows_cut(df, order_by, limit)
     split = [partitions, *order_by] if partitions else order_by
     ranges = df.repartitionByRange(*split).sortWithinPartitions(*order_by)
     placed = stage(ranges.withColumn("_place", F.monotonically_increasing_id()), "numbered")
@@ -123,29 +133,88 @@ def batch_records(
     ).drop("_total")
 
 
+def _payload(number: Column, total: Column, records: Column) -> Column:
+    """A batch's JSON, from its records' places and texts."""
+    texts = F.array_join(F.sort_array(records)["text"], ",")
+    parts = [F.lit('{"batch_number":'), number.cast("string"), F.lit(',"total_batches":'), total.cast("string")]
+    return F.concat(*parts, F.lit(',"records":['), texts, F.lit("]}"))
+
+
 def batch_payloads(
     batched: DataFrame, columns: list[str] | None = None, record: Column | None = None
 ) -> DataFrame:
     """One row per batch: `batch_number`, `total_batches`, `records` (how many) and the JSON `payload`.
 
     Records are put into JSON before they are grouped, so the shuffle moves compact text, and a
-    group never holds more than one batch.
+    group never holds more than one batch. See `ordered_payloads` for rows that are not numbered yet.
     """
     body = [name for name in batched.columns if name not in ("rn", "batch_number", "total_batches")]
     text = record if record is not None else record_json(batched, columns or body)
     rows = batched.select("batch_number", "total_batches", F.struct("rn", text.alias("text")).alias("_record"))
     grouped = rows.groupBy("batch_number", "total_batches").agg(
-        F.count(F.lit(1)).alias("records"), F.sort_array(F.collect_list("_record")).alias("_records")
+        F.count(F.lit(1)).alias("records"), F.collect_list("_record").alias("_records")
     )
-    payload = F.concat(
-        F.lit('{"batch_number":'),
-        F.col("batch_number").cast("string"),
-        F.lit(',"total_batches":'),
-        F.col("total_batches").cast("string"),
-        F.lit(',"records":['),
-        F.array_join(F.col("_records")["text"], ","),
-        F.lit("]}"),
+    payload = _payload(F.col("batch_number"), F.col("total_batches"), F.col("_records"))
+    return grouped.select("batch_number", "total_batches", "records", payload.alias("payload"))
+
+
+def ordered_payloads(
+    df: DataFrame,
+    order_by: list[str],
+    batch_size: int = BATCH_SIZE,
+    limit: int | None = None,
+    partitions: int | None = None,
+    columns: list[str] | None = None,
+    record: Column | None = None,
+) -> DataFrame:
+    """`batch_payloads` of `batch_records`, with the records' text in one shuffle and no copy of it.
+
+    The sort columns alone are numbered first. That gives ranges of whole batches, by the sort tuples of their first
+    rows, one per range; each record finds its range among them by halving. As a range holds whole batches, the
+    shuffle that brings it together also brings its batches together, and a record's place there gives its batch.
+    Should a range begin between rows whose sort tuples are equal, the rows themselves are numbered.
+    """
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # One row past the limit tells whether the limit falls between equal rows.
+    numbered = number_rows(df.select(*order_by), order_by, limit and limit + 1, partitions, "_rn", "_total")
+    found = numbered.select("_total").first()
+    if found is None:
+        return batch_payloads(batch_records(df.limit(0), order_by, batch_size), columns, record)
+    total = min(found[0], limit or found[0])
+    batches = -(-total // batch_size)
+    step = -(-batches // parts) * batch_size
+    number = F.col("_rn")
+    starts = (number <= total) & ((number - 1) % step == 0)
+    edges = starts | (number % step == 0) | (number >= total)
+    # At most two rows per range.
+    around = Window.orderBy("_rn")
+    tied = (F.lag("_rn").over(around) == number - 1) & F.lag("_key").over(around).eqNullSafe(F.col("_key"))
+    begins = (starts | (number > total)) & tied
+    borders = numbered.filter(edges).select("_rn", _tuple(order_by).alias("_key"))
+    borders = stage(borders.select("_rn", "_key", F.coalesce(begins, F.lit(False)).alias("_tied")), "borders")
+    if not borders.filter("_tied").isEmpty():
+        return batch_payloads(batch_records(df, order_by, batch_size, limit, partitions), columns, record)
+
+    if limit is not None and found[0] > total:
+        df = df.filter(_up_to(df, order_by, borders.filter(number == total).select("_key.*").first()))
+    ranges = borders.filter(starts & (number > 1)).agg(F.array_sort(F.collect_list("_key")))
+    text = record if record is not None else record_json(df, columns or df.columns)
+    by = [F.col(name).alias(f"_by{i}") for i, name in enumerate(order_by)]
+    records = df.select(*by, text.alias("_text"), _tuple(order_by).alias("_key"), ranges.scalar().alias("_ranges"))
+    part = upper_place(F.col("_key"), F.col("_ranges"), -(-total // step) - 1)
+    split = [partitions, "_part"] if partitions else ["_part"]
+    moved = records.withColumn("_part", part).drop("_key", "_ranges").repartition(*split)
+    # All ranges but the last hold `step` rows, so their sum tells nothing of a row's place in its own.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) % step
+    placed = moved.sortWithinPartitions("_part", *[f"_by{i}" for i in range(len(by))]).withColumn("_place", place)
+    batch = F.col("_part").cast("bigint") * (step // batch_size) + F.floor(F.col("_place") / batch_size) + 1
+    grouped = (
+        placed.select("_part", batch.alias("batch_number"), F.struct("_place", F.col("_text").alias("text")).alias("_record"))
+        .groupBy("_part", "batch_number")
+        .agg(F.count(F.lit(1)).alias("records"), F.collect_list("_record").alias("_records"))
+        .withColumn("total_batches", F.lit(batches).cast("bigint"))
     )
+    payload = _payload(F.col("batch_number"), F.col("total_batches"), F.col("_records"))
     return grouped.select("batch_number", "total_batches", "records", payload.alias("payload"))
 
 

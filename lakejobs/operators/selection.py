@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakejobs.operators.batching import number_rows
+from lakejobs.operators.batching import first_rows
 
 
 def on_dates(
@@ -45,6 +45,6 @@ def row_cap(limit: int | None, max_records: int | None = None) -> int | None:
 
 
 def capped(df: DataFrame, order_by: list[str], limit: int | None, max_records: int | None = None) -> DataFrame:
-    """The first rows in the given order, or all rows without a cap; see `number_rows`."""
+    """The first rows in the given order, or all rows without a cap; see `first_rows`."""
     cap = row_cap(limit, max_records)
-    return df if cap is None else number_rows(df, order_by, cap).select(*df.columns)
+    return df if cap is None else first_rows(df, order_by, cap)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakejobs.config import ExportRequest
-from lakejobs.operators.batching import batch_payloads, batch_records, deliver_batches, delivery_summary
+from lakejobs.operators.batching import deliver_batches, delivery_summary, ordered_payloads
 from lakejobs.operators.selection import matching, on_dates, row_cap
 from lakejobs.session import scratch
 from lakejobs.sources.catalog import read_table
@@ -32,8 +32,7 @@ def export_rows(
     delivered, and whether a cap left some out. All numbers are zero when there are no rows.
     """
     wanted, cap = wanted_rows(df, request, date_column), row_cap(request.limit, request.max_records)
-    batched = batch_records(wanted, order_by, request.batch_size, cap)
-    status = deliver_batches(batch_payloads(batched), send)
+    status = deliver_batches(ordered_payloads(wanted, order_by, request.batch_size, cap), send)
     delivered = status.agg(F.coalesce(F.sum(F.when(F.col("ok"), F.col("records"))), F.lit(0)).alias("delivered_records"))
     summary = delivery_summary(status, request.batch_size).join(F.broadcast(delivered))
     selected = F.col("total_records") if cap is None else F.lit(wanted.count())

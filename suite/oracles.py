@@ -150,6 +150,15 @@ def _exported(cap: int | None) -> str:
                (SELECT count(*) FROM selected) > total_records AS truncated FROM summary"""
 
 
+_PAYLOADS = """WITH numbered AS (
+            SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 100 + 1 AS batch_number,
+                   count(*) OVER () AS n FROM orders)
+        SELECT CAST(batch_number AS BIGINT) AS batch_number, CAST(ceil(max(n) / 100.0) AS BIGINT) AS total_batches,
+               count(*) AS records, CAST(count(*) AS INTEGER) AS sent_records,
+               min(o_orderkey) AS min_key, max(o_orderkey) AS max_key
+        FROM numbered GROUP BY ALL"""
+
+
 ORACLES = {
     "scan_csv": "SELECT * FROM customer",
     "scan_dat": "SELECT * FROM part",
@@ -261,15 +270,12 @@ ORACLES = {
         ORDER BY event_id LIMIT 500""",
     "export_limit_large": """SELECT l_returnflag, l_orderkey, l_linenumber FROM lineitem
         ORDER BY l_returnflag, l_orderkey, l_linenumber LIMIT 150000""",
+    "export_limit_text": """SELECT 'lake://returns/' || l_returnflag || '/' || l_linestatus AS object_key, l_orderkey, l_linenumber
+        FROM lineitem ORDER BY 1, 2, 3 LIMIT 2000""",
     "batch_records": """SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 100 + 1 AS BIGINT) AS batch_number,
         CAST(ceil(count(*) OVER () / 100.0) AS BIGINT) AS total_batches FROM orders""",
-    "batch_payloads": """WITH numbered AS (
-            SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 100 + 1 AS batch_number,
-                   count(*) OVER () AS n FROM orders)
-        SELECT CAST(batch_number AS BIGINT) AS batch_number, CAST(ceil(max(n) / 100.0) AS BIGINT) AS total_batches,
-               count(*) AS records, CAST(count(*) AS INTEGER) AS sent_records,
-               min(o_orderkey) AS min_key, max(o_orderkey) AS max_key
-        FROM numbered GROUP BY ALL""",
+    "batch_payloads": _PAYLOADS,
+    "batch_payloads_ordered": _PAYLOADS,
     "lake_export": _exported(None),
     "lake_export_capped": _exported(750),
     "events_envelope": f"""WITH base AS (SELECT event_id, event_type, {BUCKET} AS b, {KEY} AS k FROM events),

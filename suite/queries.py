@@ -394,6 +394,14 @@ def export_limit(spark: SparkSession, sf: str) -> DataFrame:
     return selection.capped(rows.select("event_id", "value"), ["event_id"], 500, 10_000)
 
 
+def export_limit_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows by a text with a common stem, many of them equal."""
+    rows = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("lake://returns/"), "l_returnflag", F.lit("/"), "l_linestatus").alias("object_key"), "l_orderkey", "l_linenumber"
+    )
+    return selection.capped(rows, ["object_key", "l_orderkey", "l_linenumber"], 2_000)
+
+
 def export_limit_large(spark: SparkSession, sf: str) -> DataFrame:
     """A limit of millions, more than any task should sort; ties in the leading column, which is text."""
     rows = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
@@ -407,9 +415,17 @@ def batch_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def batch_payloads(spark: SparkSession, sf: str) -> DataFrame:
-    batched = batching.batch_records(table(spark, sf, "orders"), ["o_orderkey"])
+    return _sent(batching.batch_payloads(batching.batch_records(table(spark, sf, "orders"), ["o_orderkey"])))
+
+
+def batch_payloads_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """The same payloads, from ranges of whole batches."""
+    return _sent(batching.ordered_payloads(table(spark, sf, "orders"), ["o_orderkey"]))
+
+
+def _sent(payloads: DataFrame) -> DataFrame:
     schema = "batch_number bigint, total_batches bigint, records array<struct<o_orderkey:string,o_totalprice:string>>"
-    parsed = batching.batch_payloads(batched).select("records", F.from_json("payload", schema).alias("sent"))
+    parsed = payloads.select("records", F.from_json("payload", schema).alias("sent"))
     keys = F.col("sent.records.o_orderkey").cast("array<bigint>")
     return parsed.select(
         F.col("sent.batch_number").alias("batch_number"),
@@ -602,8 +618,10 @@ QUERIES = {
     "export_select": export_select,
     "export_limit": export_limit,
     "export_limit_large": export_limit_large,
+    "export_limit_text": export_limit_text,
     "batch_records": batch_records,
     "batch_payloads": batch_payloads,
+    "batch_payloads_ordered": batch_payloads_ordered,
     "lake_export": lake_export,
     "lake_export_capped": lake_export_capped,
     "events_envelope": events_envelope,

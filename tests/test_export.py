@@ -12,8 +12,10 @@ from lakejobs.operators.batching import (
     batch_records,
     deliver_batches,
     delivery_summary,
+    first_rows,
     first_rows_cut,
     number_rows,
+    ordered_payloads,
 )
 from lakejobs.operators.selection import capped, matching, on_dates, row_cap
 from lakejobs.plans.export import export_rows, export_table
@@ -113,7 +115,7 @@ def test_first_rows_are_cut_off_before_anything_moves(spark, tmp_path, limit):
     df.write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
     for column in ("n", "s", "ts", "g"):
-        kept = first_rows_cut(df, column, limit)
+        kept = first_rows_cut(df, [column], limit)
         wanted = [r[0] for r in df.orderBy(column, "n").limit(limit).select("n").collect()]
         assert [r[0] for r in kept.orderBy(column, "n").limit(limit).select("n").collect()] == wanted
         if column != "g":
@@ -122,6 +124,54 @@ def test_first_rows_are_cut_off_before_anything_moves(spark, tmp_path, limit):
             assert column == "s" and limit < 200 or f"LessThanOrEqual({column}" in kept._jdf.queryExecution().toString()
 
 
+def test_rows_of_one_stem_are_cut_off_by_the_whole_sort_tuple(spark, tmp_path):
+    """Long common stems, and a leading value that all rows share."""
+    n = F.col("id") * 7919 % 20_000
+    url = F.concat(F.lit("https://example.org/catalogue/items/"), F.lpad(n.cast("string"), 6, "0"))
+    spark.range(20_000).select(F.lit("same").alias("g"), url.alias("url"), F.when(n % 3 > 0, n).alias("n")).repartition(
+        4
+    ).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for order in (["url"], ["g", "url"], ["g", "n", "url"]):
+        for limit in (1, 700, 30_000):
+            kept = first_rows_cut(df, order, limit)
+            wanted = [tuple(r) for r in df.orderBy(*order).limit(limit).collect()]
+            assert [tuple(r) for r in kept.orderBy(*order).limit(limit).collect()] == wanted
+            assert [tuple(r) for r in first_rows(df, order, limit).orderBy(*order).collect()] == wanted
+            assert limit == 30_000 or kept.count() <= 2 * limit
+    assert "LessThanOrEqual(url" in plan_text(first_rows_cut(df, ["url"], 700))
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("limit", [None, 1, 300, 1234, 5000])
+@pytest.mark.parametrize("order", [["k"], ["g", "k"], ["x", "k"], ["g"]])
+def test_payloads_of_ranges_are_those_of_numbered_rows(spark, order, limit):
+    """Nulls first, NaN last; ties of `g` alone leave which rows stand in a batch open, but not how many."""
+    i = F.col("id")
+    x = F.when(i % 4 == 0, F.lit(None)).when(i % 4 == 1, F.lit(float("nan"))).otherwise(i / 7)
+    df = spark.range(2345).select((i * 7919 % 2345).alias("k"), (i % 3).cast("string").alias("g"), x.alias("x")).repartition(5)
+    got = ordered_payloads(df, order, 10, limit).orderBy("batch_number").collect()
+    want = batch_payloads(batch_records(df, order, 10, limit)).orderBy("batch_number").collect()
+    if order == ["g"]:
+        got, want = ([r[:3] for r in rows] for rows in (got, want))
+    assert got == want
+
+
+def test_payloads_of_nothing(spark):
+    df = spark.range(0).withColumn("x", F.lit("a"))
+    assert ordered_payloads(df, ["id"], 10).collect() == [] == ordered_payloads(df, ["id"], 10, 5).collect()
+
+
+def test_text_of_payloads_moves_once(spark):
+    df = spark.range(5000).withColumn("text", F.repeat(F.lit("x"), 50))
+    plan = ordered_payloads(df, ["id"], 10)._jdf.queryExecution().executedPlan().toString()
+    main = plan.partition("Subquery")[0]
+    assert main.count("Exchange") == 1 and "FileScan" not in main
+
+
 def outbox(path, failing=lambda body: False):
     def send(payload):
         body = json.loads(payload)

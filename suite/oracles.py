@@ -190,6 +190,8 @@ ORACLES = {
     "sql_view_filter": "SELECT event_id, event_type, value FROM events WHERE value > 120",
     "stream_ingest": "SELECT * FROM events",
     "write_table": "SELECT * FROM orders",
+    "write_partitions": """SELECT * FROM orders WHERE o_orderstatus <> 'F' OR o_orderstatus IS NULL
+        UNION ALL SELECT * REPLACE (-o_totalprice AS o_totalprice) FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 2 = 0""",
     "preview": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10",
     "table_from_key": f"""SELECT page_id, {TABLE_KEY} AS object_key, CASE page_id % 3
         WHEN 0 THEN 'dev_customers_silver' WHEN 1 THEN concat('prod_t', page_id % 10, '_silver')
@@ -335,4 +337,5 @@ ORACLES = {
         FROM sent JOIN outcome USING (event_id)""",
     "event_rule_targets_many": _RULES,
     "stream_dispatch": f"WITH {_PLAN} SELECT * FROM plan",
+    "stream_dispatch_once": f"WITH {_PLAN} SELECT * FROM plan",
 }

@@ -18,7 +18,7 @@ from lakejobs.plans.customers import CustomersJob, clean_customers
 from lakejobs.plans.export import export_rows
 from lakejobs.plans.products import ProductsJob, enrich_products
 from lakejobs.session import fresh_path, stage
-from lakejobs.sinks.tables import preview, table_of_key, write_table
+from lakejobs.sinks.tables import overwrite_partitions, preview, table_of_key, write_table
 from lakejobs.sources.api_pages import assemble_pages, parse_response
 from lakejobs.sources.catalog import query_view, read_table, table_columns
 from lakejobs.sources.files import RESCUED, data_path, format_of_key, read_files, read_first_found
@@ -126,6 +126,16 @@ def write_table_twice(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, name)
 
 
+def write_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by status; then those of one status come again with other totals, in columns of another order."""
+    name, path = _unique("written"), fresh_path(spark, "table")
+    orders = table(spark, sf, "orders")
+    write_table(orders, name, partition_by=["o_orderstatus"], path=path, options={"compression": "zstd"})
+    again = orders.filter("o_orderstatus = 'F' AND o_orderkey % 2 = 0").withColumn("o_totalprice", -F.col("o_totalprice"))
+    overwrite_partitions(again.select(*reversed(orders.columns)), name)
+    return read_table(spark, name).select(*orders.columns)
+
+
 def preview_orders(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     return preview(orders, 10, ["o_orderkey"])
@@ -572,6 +582,18 @@ def stream_dispatch(spark: SparkSession, sf: str) -> DataFrame:
     return _plan_columns(spark.read.parquet(sink))
 
 
+def stream_dispatch_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs over a folder of messages, in which all of them come a second time and a third."""
+    source, sink, checkpoint = (fresh_path(spark, x) for x in ("messages", "dispatched", "dispatch-checkpoint"))
+    events = table(spark, sf, "events")
+    sent = inputs.messages(events).join(events.select("event_id", F.col("ts").cast("timestamp").alias("arrived")), "event_id")
+    for part in (sent.filter("event_id % 3 = 0"), sent, sent):
+        part.write.mode("append").parquet(source)
+        stream = stream_files(spark, source, part.schema, pattern="*.parquet")
+        dispatch_stream(stream, sink, checkpoint, _routes(spark), "test", keys=("event_id",), timeout=600, once_within="60 days")
+    return _plan_columns(spark.read.parquet(sink))
+
+
 QUERIES = {
     "scan_csv": scan_csv,
     "scan_dat": scan_dat,
@@ -587,6 +609,7 @@ QUERIES = {
     "sql_view_filter": sql_view_filter,
     "stream_ingest": stream_ingest,
     "write_table": write_table_twice,
+    "write_partitions": write_partitions,
     "preview": preview_orders,
     "table_from_key": table_from_key,
     "deliver_batches": deliver_batches,
@@ -637,4 +660,5 @@ QUERIES = {
     "dispatch_summary": dispatch_summary,
     "envelope_dispatch": envelope_dispatch,
     "stream_dispatch": stream_dispatch,
+    "stream_dispatch_once": stream_dispatch_once,
 }

@@ -15,7 +15,7 @@ from lakejobs.plans.customers import CustomersJob, clean_customers
 from lakejobs.plans.job import LakeJob
 from lakejobs.plans.products import ProductsJob, enrich_products
 from lakejobs.sinks.reports import append_report, run_report
-from lakejobs.sinks.tables import preview, show_preview, table_for_key, table_name, table_of_key, write_table
+from lakejobs.sinks.tables import overwrite_partitions, preview, show_preview, table_for_key, table_name, table_of_key, write_table
 from lakejobs.sources.api_pages import pages_from_responses
 
 CUSTOMER = "customer_id int, first_name string, last_name string, email string, phone string"
@@ -350,3 +350,26 @@ def test_customers_are_read_by_header_and_parsed_once(spark, tmp_path):
     write_customers(tmp_path / "b.csv", [("x@y.co", "A", "B", 7, None)], header="email,first_name,last_name,customer_id,phone")
     with pytest.raises(Exception, match="(?i)header"):
         job.extract()
+
+
+def test_only_partitions_with_new_rows_change(spark, tmp_path):
+    name, path = "partitions_that_stay", str(tmp_path / "t")
+    df = spark.range(30).select((F.col("id") % 3).cast("int").alias("day"), "id").withColumn("v", F.lit("a"))
+    write_table(df, name, partition_by=["day"], path=path, options={"compression": "gzip"})
+
+    def files(day):
+        return sorted(f.name for f in (tmp_path / "t" / f"day={day}").iterdir() if f.suffix == ".parquet")
+
+    kept, old = files(0), files(1)
+    assert all(".gz." in f for f in kept)
+    new = spark.createDataFrame([(1, "b", 100), (7, "b", 101)], "day int, v string, id bigint")
+    assert overwrite_partitions(new, name) == 2
+    assert files(0) == kept and files(1) != old
+    rows = sorted((r["day"], r["id"], r["v"]) for r in spark.table(name).collect())
+    assert rows == sorted([(i % 3, i, "a") for i in range(30) if i % 3 != 1] + [(1, 100, "b"), (7, 101, "b")])
+    assert overwrite_partitions(new.limit(0), name) == 0 and spark.table(name).count() == 22
+    with pytest.raises(ValueError):
+        overwrite_partitions(new.drop("v"), name)
+    write_table(df, "no_partitions", path=str(tmp_path / "u"))
+    with pytest.raises(ValueError):
+        overwrite_partitions(df, "no_partitions")

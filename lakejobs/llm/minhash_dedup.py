@@ -7,8 +7,8 @@
    pairs grow with the bucket and not with its square. Sets of paired nodes only are made again from
    the texts, and pairs are confirmed on them. Links are joined to components.
 4. Of buckets that still hold several components, the nodes' shingles are put in order of how few of these nodes have
-   them. Alike sets have a common one among the first ones of both, so nodes of different components meet there: an
-   exact filter, whose pairs are confirmed on the full sets.
+   them. Alike sets have a common one among the first ones of both, so nodes of different components meet there, unless
+   its places, or the sets' parities, leave too few common ones: exact filters, whose pairs are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -165,11 +165,37 @@ def _tokens(open_nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return filled.mapInArrow(run, "node long, component long, n long, token long")
 
 
+def parities(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Of each set, for each of 256 classes of shingles, whether it holds an odd number of them; as four numbers.
+
+    A shingle that only one of two sets holds changes one bit, so the sets differ in as many shingles as bits, or in more.
+    """
+    sets = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    places = sets * 256 + (mix(values) >> np.uint64(56)).astype(np.int64)
+    odd = (np.bincount(places, minlength=256 * (len(bounds) - 1)) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(-1, 256), axis=1).view(np.int64)
+
+
+def _parities(sets: DataFrame) -> DataFrame:
+    """(node, p0 to p3): the parities of the sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
+            found = [parities(x, np.array([0, len(x)])) for x in own]
+            columns = np.concatenate(found).T if found else np.empty((4, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *map(pa.array, columns)], ["node", "p0", "p1", "p2", "p3"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, p0 long, p1 long, p2 long, p3 long")
+
+
 def _rest(members: DataFrame, links: DataFrame, pairs: DataFrame, sets: DataFrame, params: MinMaxParams) -> DataFrame | None:
     """Further links, of nodes in buckets that two leaders did not settle; None if there is no such bucket.
 
     Of two sets that are alike enough, the shingles that are rarest among these nodes' hold a common one: of n, the first
     n - ceil(n * percent / 100) + 1. Nodes with a common one there, and of different components, are pairs to confirm.
+    The first common one has nothing common before it, so its places bound the number of common shingles, and so do the
+    sets' parities; a pair is made only if both bounds leave enough for a link.
     """
     found = connected_components(links)
     placed = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
@@ -185,14 +211,22 @@ def _rest(members: DataFrame, links: DataFrame, pairs: DataFrame, sets: DataFram
     rarest = Window.partitionBy("node").orderBy("holders", "token")
     alone = F.col("n") - F.count("*").over(Window.partitionBy("node"))
     ranked = known.withColumns({"at": F.row_number().over(rarest) + alone, "least": F.ceil(F.col("n") * params.percent / 100)})
-    prefixes = stage(ranked.filter("at <= n - least + 1").select("token", "node", "component", "n"), "minhash-prefixes")
+    first = ranked.filter("at <= n - least + 1").select("token", "node", "component", "n", "at")
+    prefixes = stage(first.join(_parities(sets), "node"), "minhash-prefixes")
     # Of a shingle's holders, those of the component that most of them are in meet only the others.
     per = prefixes.groupBy("token", "component").agg(F.count("*").alias("held"))
     main = per.groupBy("token").agg(F.max_by("component", F.struct("held", "component")).alias("main"), F.count("*").alias("parts"))
     waiting = prefixes.join(main.filter("parts > 1").select("token", "main"), "token")
-    outside = waiting.filter("component <> main").select("token", "node", "component", "n")
-    whole = waiting.select("token", *(F.col(x).alias(f"{x}2") for x in ("node", "component", "n")))
-    fits = 100 * F.least("n", "n2") >= params.percent * F.greatest("n", "n2")
+    own = [x for x in waiting.columns if x not in ("token", "main")]
+    outside = waiting.filter("component <> main").select("token", *own)
+    whole = waiting.select("token", *(F.col(x).alias(f"{x}2") for x in own))
+    # A link needs (100 + percent) * common >= percent * both.
+    both = F.col("n") + F.col("n2")
+    unlike = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"p{i}2"))) for i in range(4)), F.lit(0))
+    left = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) + 1
+    fits = ((100 + params.percent) * left >= params.percent * both) & (
+        (100 + params.percent) * (both - unlike) >= 2 * params.percent * both
+    )
     met = outside.join(whole, "token").filter((F.col("component") != F.col("component2")) & fits)
     met = met.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")).distinct()
     # What the leaders' pairs have shown already is not asked again.

@@ -3,7 +3,7 @@ import random
 import numpy as np
 from brute import components, shingle_links
 from lakejobs.llm.components import connected_components
-from lakejobs.llm.minhash_dedup import MinMaxParams, _rest, near_duplicates
+from lakejobs.llm.minhash_dedup import MinMaxParams, _rest, near_duplicates, parities
 
 
 def result(df):
@@ -57,6 +57,34 @@ def test_nodes_of_one_bucket_meet_by_their_rare_shingles(spark):
     assert sorted((r.a, r.b) for r in links.collect()) == [(2 * i + 1, 2 * i) for i in range(400)]
 
 
+def test_parities_never_exceed_what_sets_differ_in():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(1, 400, size).astype(np.uint64)) for size in (0, 1, 5, 50, 150, 150, 300, 3000)]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    found = parities(np.concatenate(sets), bounds)
+    bits = np.unpackbits(found.view(np.uint8), axis=1)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            differing = len(np.setxor1d(a, b))
+            unlike = int((bits[i] != bits[j]).sum())
+            assert unlike <= differing and (differing - unlike) % 2 == 0 and (differing != 1 or unlike == 1)
+
+
+def test_a_large_family_at_the_limit(documents):
+    """Copies of one text whose similarity lies on both sides of the limit, most of them unlinked with one another."""
+    rng = random.Random(8)
+    texts = [text for changes in (3, 4, 5, 6) for text in family(random.Random(9), 1, 0)[:1] + family(rng, 60, changes)]
+    base = texts[0].split()
+    for changes in (3, 4, 5, 6):
+        for _ in range(60):
+            words = list(base)
+            for at in rng.sample(range(100), changes):
+                words[at] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+    texts = list(enumerate(texts))
+    assert result(near_duplicates(documents(texts), MinMaxParams(width=4))) == expected(texts, 4)
+
+
 def test_texts_are_shuffled_when_ids_are_many(documents):
     texts = list(enumerate(family(random.Random(5), 20, 2)))
     got = near_duplicates(documents(texts), MinMaxParams(width=4, broadcast_ids=3))

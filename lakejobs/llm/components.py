@@ -27,8 +27,9 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
     """Rows (node, component): each node of the edges (a, b) and the smallest node it is connected with.
 
     Large-star and small-star steps alternate until all edges point at their component's smallest node.
-    Each round is written to the shared folder, which cuts the lineage. A node with very many neighbours
-    meets them in joins only (which adaptive execution splits) and in sums that start before the shuffle.
+    Each round is written to the shared folder, which cuts the lineage. The smallest edge of a
+    node with very many neighbours is found by minima that start before the shuffle, but all its edges meet it in one
+    task of a join.
     Loops and null ends are ignored. No edges give no rows.
     """
     clean = edges.select("a", "b").filter("a <> b")

@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,12 +16,14 @@ from lakejobs.config import BATCH_SIZE
 from lakejobs.functions.json_cells import record_json
 from lakejobs.functions.ranges import upper_place
 from lakejobs.schemas import STATUS
-from lakejobs.session import stage
+from lakejobs.session import arrow_batches, stage
 
 # monotonically_increasing_id() holds the partition above these bits and the row's place below them.
 _PLACE_BITS = 33
 # So many rows may be sorted by one task.
 _FEW = 100_000
+# Bytes of payloads that a sending task holds, or one payload.
+PAYLOAD_BYTES = 4 << 20
 
 
 # So many sampled rows are expected below a limit, and so many deviations above that number lies the bound.
@@ -251,13 +254,26 @@ def deliver_batches(payloads: DataFrame, send: Callable[[str], object], retry: R
     its batches again: receivers should drop a `batch_number` they have seen, or see `deliver_resumable`.
     """
 
-    def attempt(frames: Iterator) -> Iterator:
-        for frame in frames:
-            errors = [retry.call(send, payload) for payload in frame["payload"]]
-            frame = frame[["batch_number", "records"]]
-            yield frame.assign(ok=[error is None for error in errors], error=errors)
+    def attempt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return outcomes(batches, lambda row: retry.call(send, row["payload"]))
 
-    return stage(payloads.select("batch_number", "records", "payload").mapInPandas(attempt, STATUS), "delivery")
+    with arrow_batches(payloads.sparkSession, PAYLOAD_BYTES):
+        return stage(to_deliver(payloads).mapInArrow(attempt, STATUS), "delivery")
+
+
+def to_deliver(payloads: DataFrame, *more: str) -> DataFrame:
+    """The columns of payloads that a delivery needs, with the types of its status rows."""
+    numbers = [F.col(name).cast("bigint").alias(name) for name in ("batch_number", "records")]
+    return payloads.select(*numbers, "payload", *more)
+
+
+def outcomes(batches: Iterator[pa.RecordBatch], deliver: Callable[[dict], str | None]) -> Iterator[pa.RecordBatch]:
+    """Status rows of what `deliver` returns for each row, an error's text or None; one row at a time is made Python's."""
+    for batch in batches:
+        errors = [deliver(batch.slice(i, 1).to_pylist()[0]) for i in range(batch.num_rows)]
+        ok = pa.array([error is None for error in errors], pa.bool_())
+        columns = [batch.column("batch_number"), batch.column("records"), ok, pa.array(errors, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["batch_number", "records", "ok", "error"])
 
 
 def delivery_summary(status: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:

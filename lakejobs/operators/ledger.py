@@ -6,13 +6,14 @@ import json
 import uuid
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.operators.batching import Retry
+from lakejobs.operators.batching import PAYLOAD_BYTES, Retry, outcomes, to_deliver
 from lakejobs.schemas import STATUS
-from lakejobs.session import stage
+from lakejobs.session import arrow_batches, stage
 
 LEDGER = "batch_number bigint, payload_hash string, records bigint"
 
@@ -74,18 +75,19 @@ def deliver_resumable(
     before = stage(acknowledged(spark, ledger, export_id), "acknowledged")
     pending = hashed.join(before, ["batch_number", "payload_hash"], "left_anti")
 
-    def attempt(frames: Iterator) -> Iterator:
+    def attempt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries = _Ledger(folder)
-        for frame in frames:
-            errors = []
-            for row in frame.itertuples():
-                errors.append(retry.call(send, row.payload))
-                if errors[-1] is None:
-                    entries.add(int(row.batch_number), row.payload_hash, int(row.records))
-            frame = frame[["batch_number", "records"]]
-            yield frame.assign(ok=[error is None for error in errors], error=errors)
-
-    sent = stage(pending.mapInPandas(attempt, STATUS), "delivery").withColumn("resumed", F.lit(False))
+
+        def deliver(row: dict) -> str | None:
+            error = retry.call(send, row["payload"])
+            if error is None:
+                entries.add(row["batch_number"], row["payload_hash"], row["records"])
+            return error
+
+        return outcomes(batches, deliver)
+
+    with arrow_batches(spark, PAYLOAD_BYTES):
+        sent = stage(to_deliver(pending, "payload_hash").mapInArrow(attempt, STATUS), "delivery").withColumn("resumed", F.lit(False))
     numbers = hashed.select("batch_number", "records", "payload_hash")
     known = numbers.join(before.select("batch_number", "payload_hash"), ["batch_number", "payload_hash"], "left_semi")
     old = known.select("batch_number", "records", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error"), F.lit(True).alias("resumed"))

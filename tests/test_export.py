@@ -196,6 +196,23 @@ def test_a_failing_batch_does_not_stop_the_rest_and_nothing_is_sent_twice(spark,
     assert {(tmp_path / name).read_text() for name in os.listdir(tmp_path)} == {"x"}
 
 
+def test_a_sender_holds_few_payloads_at_once(spark):
+    """Whatever the number of payloads of a task: the worker keeps a few megabytes of Arrow batches, not tens of them."""
+    payloads = spark.range(400, numPartitions=1).selectExpr("id AS batch_number", "1L AS records", "repeat('x', 100000) AS payload")
+
+    def send(payload):
+        import gc
+
+        import pandas
+        import pyarrow
+
+        if pyarrow.total_allocated_bytes() > 16 << 20 or any(isinstance(x, pandas.DataFrame) for x in gc.get_objects()):
+            raise ValueError("too much")
+
+    status = deliver_batches(payloads, send)
+    assert status.filter("ok").count() == 400, status.first()
+
+
 def test_no_records_no_batches(spark):
     status = spark.createDataFrame([], "batch_number bigint, records bigint, ok boolean, error string")
     assert delivery_summary(status).first().asDict() == {

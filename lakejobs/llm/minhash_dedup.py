@@ -28,6 +28,9 @@ from lakejobs.llm.shared import chunks, keep, text_bytes
 from lakejobs.llm.words import SPACED, hashes, mix, spans, windows
 from lakejobs.session import scratch, stage
 
+# Bytes of text looked at together; arrays over their bytes and words take many times that.
+_CHUNK = 1 << 20
+
 
 @dataclass(frozen=True)
 class MinMaxParams:
@@ -93,7 +96,7 @@ def _sketch(docs: DataFrame, params: MinMaxParams) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", _CHUNK):
                 values, bounds = document_sets(part.column("text"), params.width)
                 sizes = np.diff(bounds)
                 filled = sizes > 0
@@ -122,7 +125,7 @@ def _sets(docs: DataFrame, params: MinMaxParams) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", _CHUNK):
                 values, bounds = document_sets(part.column("text"), params.width)
                 body = [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(

@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from brute import components, shingle_links
+from lakejobs.llm import minhash_dedup
 from lakejobs.llm.components import connected_components
-from lakejobs.llm.minhash_dedup import MinMaxParams, _rest, near_duplicates, parities
+from lakejobs.llm.minhash_dedup import MinMaxParams, _rest, _sets, _sketch, near_duplicates, parities
 
 
 def result(df):
@@ -119,3 +121,32 @@ def test_components(spark):
     real = [(a, b) for a, b in links if a is not None and a != b]
     assert got == components({x for pair in real for x in pair}, real)
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_workers_look_at_a_megabyte_of_text_at_once(monkeypatch):
+    """Arrays over text take many times its bytes; what comes out does not depend on how it is divided."""
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    seen = []
+
+    def counted(texts, width, whole=minhash_dedup.document_sets):
+        seen.append(sum(len(x) for x in texts.to_pylist()))
+        return whole(texts, width)
+
+    monkeypatch.setattr(minhash_dedup, "document_sets", counted)
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(9000)}" for _ in range(12_000)) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    for work in (_sketch, _sets):
+        run = work(Docs(), MinMaxParams())
+        seen.clear()
+        got = pa.Table.from_batches(run([batch]))
+        assert sum(seen) == sum(map(len, texts)) > 3 << 20 and max(seen) <= 1 << 20
+        single = pa.Table.from_batches(x for i in range(60) for x in run([batch.slice(i, 1)]))
+        assert got.to_pylist() == single.to_pylist()
